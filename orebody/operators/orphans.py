@@ -68,8 +68,9 @@ def _references(key: ForeignKey, table: Keyed) -> DataFrame:
     frame = table.frame
     value: Column = F.col(f"`{key.column}`")
     at = (table.time if table.time is not None else F.lit(None)).cast("timestamp_ntz")
-    entry = F.explode(value) if isinstance(frame.schema[key.column].dataType, T.ArrayType) else value
-    out = frame.select(F.col(f"`{table.record_id}`").cast("string").alias("record_id"), at.alias("at"), entry.cast("string").alias("reference"))
+    listed = isinstance(frame.schema[key.column].dataType, T.ArrayType)
+    entry = F.explode(value.cast("array<string>")) if listed else value.cast("string")
+    out = frame.select(F.col(f"`{table.record_id}`").cast("string").alias("record_id"), at.alias("at"), entry.alias("reference"))
     if key.clean:
         out = out.withColumn("reference", F.lower(F.regexp_replace("reference", _EDGES, ""))).filter(F.col("reference") != "")
     return out.filter(F.col("reference").isNotNull())
