@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebody.llm import encode, mojibake, survivors, wordruns
+from orebody.llm import canonical, encode, mojibake, survivors, wordruns
 from orebody.operators.topn import first_n, latest_by
 from orebody.session import table
 
 HOST = r"^[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+\z"
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reference = table(spark, sf_dir, "title_reference").select("title_id", "title")
+    entries = [(r.title_id, r.title) for r in reference.limit(canonical.MOST_ENTRIES + 1).collect()]
+    typed = table(spark, sf_dir, "contact_records").select("contact_id", "title", "observed_at")
+    typed = typed.filter(F.col("title").rlike(r"[^\s\u0085\p{Z}]")).join(reference.select("title").distinct(), "title", "left_anti")
+    mapped = canonical.map_values(typed, "title", entries, canonical.title_aliases(entries), "title_id")
+    latest = F.max(F.struct("observed_at", "title_id")).alias("l")
+    return mapped.groupBy("contact_id").agg(latest).select("contact_id", F.col("l.title_id").alias("title_id"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     measure = lambda n: survivors.Survival(F.when(n > 0, n))
     fields = {
@@ -69,7 +79,7 @@ def p10_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p5_found, p5_truth, p7_found, p8_ids, p9_found, p9_leaks, p10_found, p10_repair)
+    f.__name__: f for f in (p2_found, p5_found, p5_truth, p7_found, p8_ids, p9_found, p9_leaks, p10_found, p10_repair)
 }
 
 _P5 = """
