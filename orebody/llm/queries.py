@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebody.llm import canonical, encode, mojibake, survivors, wordruns
+from orebody.llm import canonical, encode, mojibake, pii, survivors, wordruns
 from orebody.operators.topn import first_n, latest_by
 from orebody.session import table
 
@@ -49,6 +49,19 @@ def p5_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("entity").alias("company_id"), F.col("field").alias("field_name"), "value", F.round("confidence", 6).alias("confidence"))
 
 
+def p6_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = pii.known_names(table(spark, sf_dir, "contact_records"), "full_name")
+    out = None
+    for source, row_id, text in (("evidence_items", "evidence_id", "excerpt"), ("discovery_exa", "record_id", "snippet"), ("discovery_apify", "record_id", "snippet")):
+        found = pii.find_personal(table(spark, sf_dir, source), row_id, text, names).select(F.lit(source).alias("source_table"), "*")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_redacted(spark, sf_dir).select("source_table", "row_id", F.explode("kinds").alias("pii_kind")).distinct()
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "contact_records").select("contact_id", "company_id", "decision_rank", "full_name", "observed_at")
     rank = F.when(F.col("decision_rank").between(1, 3), F.col("decision_rank")).otherwise(4)
@@ -79,7 +92,7 @@ def p10_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p5_found, p5_truth, p7_found, p8_ids, p9_found, p9_leaks, p10_found, p10_repair)
+    f.__name__: f for f in (p2_found, p5_found, p5_truth, p6_found, p6_redacted, p7_found, p8_ids, p9_found, p9_leaks, p10_found, p10_repair)
 }
 
 _P5 = """
