@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebody.llm import canonical, encode, mojibake, pii, survivors, wordruns
+from orebody.llm import canonical, encode, mojibake, pii, survivors, variants, wordruns
 from orebody.operators.topn import first_n, latest_by
 from orebody.session import table
 
@@ -24,6 +24,16 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped.groupBy("contact_id").agg(latest).select("contact_id", F.col("l.title_id").alias("title_id"))
 
 
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = variants.variant_classes(table(spark, sf_dir, "company_records"), "company_id", "name", "normalized_name", "domain")
+    return out.select(F.col("owner").alias("company_id"), "class")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = p4_classes(spark, sf_dir).withColumnRenamed("company_id", "owner")
+    return variants.class_pairs(classes).select(F.col("a").alias("company_id_a"), F.col("b").alias("company_id_b"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     measure = lambda n: survivors.Survival(F.when(n > 0, n))
     fields = {
@@ -92,7 +102,7 @@ def p10_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p5_found, p5_truth, p6_found, p6_redacted, p7_found, p8_ids, p9_found, p9_leaks, p10_found, p10_repair)
+    f.__name__: f for f in (p2_found, p4_found, p4_classes, p5_found, p5_truth, p6_found, p6_redacted, p7_found, p8_ids, p9_found, p9_leaks, p10_found, p10_repair)
 }
 
 _P5 = """

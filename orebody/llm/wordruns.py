@@ -113,7 +113,7 @@ def _leaks_of(docs: DataFrame, evals: list[tuple[int, list[str]]]) -> DataFrame:
                 for g in known.intersection(grams(words(t), SEED)):
                     ids.append(i)
                     hits.append(g)
-            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "gram": hits})
+            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "gram": pd.Series(hits, dtype="object")})
 
     hits = cut_lineage(docs.mapInPandas(look, _HIT))
     # At most one row per n-gram of the block of items: bounded by ITEMS_AT_ONCE, not by the corpus.
