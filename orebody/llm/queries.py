@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebody.llm import canonical, encode, mojibake, pii, survivors, variants, wordruns
+from orebody.llm import canonical, encode, linkage, mojibake, pii, survivors, variants, wordruns
 from orebody.operators.topn import first_n, latest_by
 from orebody.session import table
 
@@ -24,6 +24,22 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped.groupBy("contact_id").agg(latest).select("contact_id", F.col("l.title_id").alias("title_id"))
 
 
+def p3_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = None
+    for source in ("discovery_exa", "discovery_apify"):
+        r = table(spark, sf_dir, source).select(F.lit(source).alias("source"), "record_id", "name", F.col("website_url").alias("site"), F.col("source_url").alias("link"), "city", "region")
+        rows = r if rows is None else rows.unionByName(r)
+    return linkage.link_records(rows)
+
+
+def p3_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkage.matches(p3_companies(spark, sf_dir), "discovery_exa", "discovery_apify")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_matches(spark, sf_dir).select("record_id_a", "record_id_b")
+
+
 def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = variants.variant_classes(table(spark, sf_dir, "company_records"), "company_id", "name", "normalized_name", "domain")
     return out.select(F.col("owner").alias("company_id"), "class")
@@ -102,7 +118,7 @@ def p10_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p4_found, p4_classes, p5_found, p5_truth, p6_found, p6_redacted, p7_found, p8_ids, p9_found, p9_leaks, p10_found, p10_repair)
+    f.__name__: f for f in (p2_found, p3_found, p3_companies, p3_matches, p4_found, p4_classes, p5_found, p5_truth, p6_found, p6_redacted, p7_found, p8_ids, p9_found, p9_leaks, p10_found, p10_repair)
 }
 
 _P5 = """
