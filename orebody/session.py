@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +27,25 @@ def build_session(app: str = "orebody", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a session: they need not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_orebody_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="orebody-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    packed = Path(folder, "orebody-package.zip")
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(packed))  # executors fetch it from the driver's file server
+    context._orebody_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table of a directory, as a lazily read parquet scan."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
