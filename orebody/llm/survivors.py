@@ -60,9 +60,10 @@ def survive(df: DataFrame, group: str, row_id: str, updated: Column, fields: Map
 def discover_truth(claims: DataFrame, prior: float = 0.8, prior_weight: float = 4.0, tolerance: float = 1e-3, rounds: int = 20, keep: Sequence[str] = ()) -> DataFrame:
     """(entity, field, value, support, confidence): the value of each entity's field that its sources support most.
 
-    ``claims``: entity, field, value, source. Rounds alternate: a value's support is the sum of its sources'
-    reliabilities; a source's reliability is the mean, over its claims, of the share of support its value has among the
-    values of the same field, drawn to ``prior`` with the weight of ``prior_weight`` claims. They end when no
+    ``claims``: entity, field, value, source. Rounds alternate: a value's support is the sum of the
+    log-odds of its sources' reliabilities, its confidence is its share of the exponentials of the supports of the same
+    field; a source's reliability is the mean confidence of its claims, drawn to ``prior`` with the weight of
+    ``prior_weight`` claims. They end when no
     reliability moves by ``tolerance``, or after ``rounds``. A support tie goes to the greater value.
 
     Claims repeated by a source count once; null entities, values or sources claim nothing. Sums are combined before
@@ -74,16 +75,19 @@ def discover_truth(claims: DataFrame, prior: float = 0.8, prior_weight: float =
     trust = votes.select("source").distinct().withColumn("trust", F.lit(prior))
     supported = None
     for _ in range(rounds):
-        support = votes.join(trust, "source").groupBy("entity", "field", "value").agg(F.sum("trust").alias("support"))
-        total = support.groupBy("entity", "field").agg(F.sum("support").alias("total"))
-        supported = support.join(total, ["entity", "field"]).withColumn("confidence", F.col("support") / F.col("total"))
+        odds = F.ln(F.col("trust") / (1 - F.col("trust")))
+        support = votes.join(trust, "source").groupBy("entity", "field", "value").agg(F.sum(odds).alias("support"))
+        top = support.groupBy("entity", "field").agg(F.max("support").alias("top"))
+        scaled = support.join(top, ["entity", "field"]).withColumn("scaled", F.exp(F.col("support") - F.col("top")))
+        total = scaled.groupBy("entity", "field").agg(F.sum("scaled").alias("total"))
+        supported = scaled.join(total, ["entity", "field"]).withColumn("confidence", F.col("scaled") / F.col("total")).drop("scaled", "top", "total")
         after = (
             votes.join(supported.select("entity", "field", "value", "confidence"), ["entity", "field", "value"])
             .groupBy("source")
             .agg(((F.sum("confidence") + prior * prior_weight) / (F.count("*") + prior_weight)).alias("now"))
         )
         moved = cut_lineage(trust.join(after, "source"))
-        trust = moved.select("source", F.col("now").alias("trust"))
+        trust = moved.select("source", F.least(F.lit(0.999), F.greatest(F.lit(0.001), "now")).alias("trust"))
         if (moved.agg(F.max(F.abs(F.col("now") - F.col("trust"))).alias("d")).first().d or 0.0) < tolerance:
             break
     best = F.max(F.struct("support", "value", "confidence")).alias("b")
