@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orebody.functions import geo, text, url, values
-from orebody.operators import calibration, contacts, evidence, identity, ledger
+from orebody.operators import calibration, contacts, evidence, identity, ledger, support
 from orebody.operators.topn import latest_by
 from orebody.session import table
 
@@ -371,3 +372,26 @@ def profile_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def company_name_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "company_records").select("snapshot_id", text.normalize_company_name(F.col("name")).alias("form"))
     return rows.withColumn("digest", values.digest_id("cmp_", F.concat(F.lit("fallback:"), "form"))).distinct()
+
+
+def _bounded(pattern: str) -> str:
+    """Word bounds spelt out, as those of SQL know ASCII letters only."""
+    start, end = r"(^|[^\p{L}\p{N}_])", r"([^\p{L}\p{N}_]|$)"
+    return re.sub(r"\\b(?=[\w(])", lambda _: start, pattern).replace(r"\b", end).replace("'", "''")
+
+
+def _speaks(groups: tuple[str, ...]) -> str:
+    return " AND ".join(f"regexp_matches(c, '{_bounded(p)}')" for p in groups)
+
+
+_FACT_LIST = ", ".join(f"CASE WHEN {_speaks(groups)} THEN '{fact}' END" for fact, groups in support.FACTS.items())
+
+
+@query(f"""
+WITH e AS (SELECT DISTINCT company_id, evidence_id, excerpt FROM evidence_items WHERE company_id IS NOT NULL AND deleted_at IS NULL),
+s AS (SELECT company_id, unnest(regexp_split_to_array(lower(excerpt), '(?i)(?:[.!?;:\\n]+|\\b(?:and|but|however|whereas|while|yet)\\b)')) AS c FROM e),
+f AS (SELECT company_id, regexp_matches(c, '{_bounded(support.DENIAL)}') AS d, unnest([{_FACT_LIST}]) AS fact FROM s)
+SELECT company_id, fact, count(*) FILTER (NOT d) AS stated, count(*) FILTER (d) AS denied FROM f WHERE fact IS NOT NULL GROUP BY 1, 2""")
+def term_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "evidence_items").filter(F.col("deleted_at").isNull()).select("company_id", "evidence_id", "excerpt").distinct()
+    return support.support(items, "company_id", "excerpt")
