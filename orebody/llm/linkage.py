@@ -196,7 +196,7 @@ def link_records(records: DataFrame) -> DataFrame:
     Null or placeholder names with a site belong to the site; with neither name nor site a record belongs to none and
     does not come out. Repeated rows count once.
     """
-    rows = cut_lineage(_resolved(_parsed(records.distinct())))
+    rows = cut_lineage(_resolved(cut_lineage(_parsed(records.distinct()))))
     classes = cut_lineage(_name_classes(rows))
     by_site = classes.select(F.col("form").alias("base"), F.col("name_class").alias("site_class"))
     by_name = classes.select("form", F.col("name_class").alias("form_class"))
