@@ -87,20 +87,17 @@ def _without_parent(references: DataFrame, parents: DataFrame, key: ForeignKey)
     if key.since is None:
         known = parents.select(F.col(f"`{key.parent_column}`").cast("string").alias("reference")).filter(F.col("reference").isNotNull()).distinct()
         return references.join(known, "reference", "left_anti")
-    us = lambda c: F.unix_micros(F.col(c).cast("timestamp_ntz").cast("timestamp"))
-    day_us = 86_400_000_000
-    far = F.lit(2**62).cast("long")
-    until = us(f"`{key.until}`") if key.until else F.lit(None).cast("long")
-    items = parents.select(
-        F.col(f"`{key.parent_column}`").cast("string").alias("reference"), us(f"`{key.since}`").alias("t"), F.coalesce(until, far).alias("u")
-    ).filter(F.col("reference").isNotNull() & F.col("t").isNotNull() & (F.col("u") > F.col("t")))
-    items = items.withColumn("day", F.floor(F.col("t") / day_us).cast("int"))
-    asked = references.withColumn("t", us("at")).withColumn("day", F.floor(F.col("t") / day_us).cast("int"))
+    local = lambda c: F.col(f"`{c}`").cast("timestamp_ntz")
+    far = F.lit("9999-12-31 23:59:59.999999").cast("timestamp_ntz")
+    until = F.coalesce(local(key.until), far) if key.until else far
+    items = parents.select(F.col(f"`{key.parent_column}`").cast("string").alias("reference"), local(key.since).alias("t"), until.alias("u"))
+    items = items.filter(F.col("reference").isNotNull() & F.col("t").isNotNull() & (F.col("u") > F.col("t"))).withColumn("day", F.to_date("t"))
+    asked = references.withColumn("t", F.col("at")).withColumn("day", F.to_date("t"))
     timeless = asked.filter(F.col("t").isNull()).select("record_id", "at", "reference")
     asked = asked.filter(F.col("t").isNotNull())
     daily = (
         items.select("reference", "day", "u")
-        .unionByName(asked.select("reference", "day", F.lit(None).cast("long").alias("u")))
+        .unionByName(asked.select("reference", "day", F.lit(None).cast("timestamp_ntz").alias("u")))
         .groupBy("reference", "day")
         .agg(F.max("u").alias("u"))
     )
@@ -108,13 +105,13 @@ def _without_parent(references: DataFrame, parents: DataFrame, key: ForeignKey)
     carried = (
         daily.withColumn("u", F.max("u").over(before))
         .filter(F.col("u").isNotNull())
-        .select("reference", "day", (F.col("day").cast("long") * day_us).alias("t"), "u")
+        .select("reference", "day", F.col("day").cast("timestamp_ntz").alias("t"), "u")
     )
     nothing = {"record_id": F.lit(None).cast("string"), "at": F.lit(None).cast("timestamp_ntz")}
     rows = (
         items.unionByName(carried)
         .withColumns(nothing | {"asks": F.lit(0)})
-        .unionByName(asked.withColumns({"u": F.lit(None).cast("long"), "asks": F.lit(1)}))
+        .unionByName(asked.withColumns({"u": F.lit(None).cast("timestamp_ntz"), "asks": F.lit(1)}))
     )
     so_far = Window.partitionBy("reference", "day").orderBy("t", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     dangling = (
