@@ -25,6 +25,8 @@ from orebody.session import cut_lineage
 # Weights of the rules.
 SITE_RULE, LINK_RULE, NAME_RULE, PRIOR_RULE, SUFFIX_RULE, ELSEWHERE_RULE, AGREE_RULE = 8.0, 4.0, 1.0, 0.3, 2.0, 1.5, 1.0
 STEP, ROUNDS, TOLERANCE = 1.0, 60, 2e-3
+# Rounds between two cuts of the lineage.
+EACH = 6
 LEAST_TRUTH = 0.3
 # A domain is a directory if at least so many named records show it and at most this share of their names is like it.
 DIRECTORY_ROWS, DIRECTORY_SHARE = 5, 0.2
@@ -156,12 +158,14 @@ def solve(truths: DataFrame) -> DataFrame:
     regions = truths.filter(F.col("region").isNotNull()).groupBy("name_class", "region", "anchor").agg(F.lit(0.0).alias("up"), F.lit(0.0).alias("down"))
     regions = regions.select("name_class", F.concat(F.lit("region:"), "region").alias("owner"), "region", "anchor", "up", "down", F.lit(0).alias("kind"))
     start = {"value": F.lit(0.5), "u1": F.lit(0.0), "u2": F.lit(0.0), "u3": F.lit(0.0)}
-    state = own.unionByName(regions).withColumns(start).repartition("name_class")
+    state = own.unionByName(regions).withColumns(start)
     holders = Window.partitionBy("name_class", "owner")
     agree = Window.partitionBy("name_class", "anchor", "region")
     is_region = F.col("kind") == 0
     state = cut_lineage(state)
     for k in range(1, ROUNDS + 1):
+        if k % EACH == 1:
+            state = state.repartition("name_class")  # which every window of the next rounds is satisfied with
         v1, v2, v3 = (F.col("value") - F.col(u) for u in ("u1", "u2", "u3"))
         state = state.withColumns({"v2": v2, "before": F.col("value")})
         # Agreement: w * |truth - region| for every truth of the region; the region's copy takes the mean of the moves.
@@ -178,7 +182,7 @@ def solve(truths: DataFrame) -> DataFrame:
         mean = sum(F.col(x) + F.col(u) for x, u in copies.items()) / 3
         state = state.withColumn("value", F.greatest(F.lit(0.0), F.least(F.lit(1.0), mean)))
         state = state.withColumns({u: F.col(u) + F.col(x) - F.col("value") for x, u in copies.items()})
-        if k % 3 == 0:
+        if k % EACH == 0:
             state = cut_lineage(state)
             if (state.agg(F.max(F.abs(F.col("value") - F.col("before"))).alias("d")).first().d or 0.0) < TOLERANCE:
                 break
