@@ -124,8 +124,10 @@ _TOKEN = re.compile(r"\S*[^\x00-\x7F\s]\S*")
 # Mac Roman views of dashes, quotes, bullets and degrees, where they stand alone and so clash with no word.
 _LONE = re.compile(
     r"(?<![lL]a )(?<!letra )(?<=\w )ñ(?= [A-ZÀ-Ý])|(?m:^ï(?= \w))|(?<![^\W\d_])ì(?=[^\W\d_]{2})|(?<=\d)∞(?=[CF]\b)|(?<=\d )∞(?=[CF]\b)"
-    r"|(?<=[a-zà-ÿ] )‡(?= \w)|(?<!\S)´(?= [A-ZÀ-Ý])|(?<= )ª(?=[ ,.:;])"
+    r"|(?<=[a-zà-ÿ,] )‡(?= \w)|(?<=[a-zà-ÿ])·(?=[a-zà-ÿ]{3})|(?<=[a-zà-ÿ]{4})·(?= )|(?<!\S)´(?= [A-ZÀ-Ý])|(?<= )ª(?=[ ,.:;])"
 )
+# A Cyrillic letter by itself between Latin words.
+_LONE_CYRILLIC = re.compile(r"(?<=[a-zà-ÿ,] )[а-я](?= [a-zà-ÿA-Z])")
 # What else the same view shows in a text that gave itself away elsewhere.
 _ALSO = re.compile(r"(?<=[a-zà-ÿ])·(?=[a-zà-ÿ\s])|(?<=\w )ñ(?= \w)|(?<![^\W\d_])ó(?= )|(?<=[\w,.!?])î(?=[\s,.;]|$)|(?<!\w)([lLdDnNsSjJcCmMtT]|[qQ]u)í(?=[aeéèêhiou])|∞|‡")
 
@@ -158,8 +160,9 @@ def _as_cp1252(text: str, name: str, suspects: dict[str, int]) -> tuple[str, int
         lone = _LONE.sub(alone, out)
         changed += sum(a != b for a, b in zip(out, lone))
         out = _ALSO.sub(alone, lone) if changed else lone
-    if changed and name == "cp1251":  # words of one letter have nothing to clash with
-        out = re.sub(r"(?<=[a-zà-ÿ] )[а-яА-Я](?= [a-zà-ÿA-Z])", alone, out)
+    if name == "cp1251":  # words of one letter have nothing to clash with
+        out, more = _LONE_CYRILLIC.subn(alone, out)
+        changed += more
     return out, changed
 
 
@@ -195,7 +198,7 @@ def repair(text: str | None) -> tuple[str | None, list[str], bool]:
         _, _, layers, name, text = min(readings)
         undone += [f"{name}>utf_8"] * layers
     suspects = {t: cost for t in set(_TOKEN.findall(text)) if (cost := _token_cost(t))}
-    if suspects or _LONE.search(text):
+    if suspects or _LONE.search(text) or _LONE_CYRILLIC.search(text):
         readings = [(-changed, k, n, out) for k, n in enumerate(SINGLE_BYTE) for out, changed in [_as_cp1252(text, n, suspects)] if changed]
         if readings:
             _, _, name, text = min(readings)
