@@ -133,3 +133,11 @@ def test_usage_stream(spark, tmp_path):
     query.awaitTermination()
     out = {(r.w.start.hour, r.request_count, r.cost_usd) for r in totals(spark.table("seen")).collect()}
     assert {x[1:] for x in out} == {(2, 0.5), (1, None)}
+
+
+def test_support(spark):
+    from orebody.operators.support import support
+
+    rows = [("c", "We sell valves. We do not sell pipe; quotes are slow"), ("c", "Nous notons la vente"), ("d", None), (None, "We sell pipe"), ("e", "")]
+    out = {(r.c, r.fact): (r.stated, r.denied) for r in support(spark.createDataFrame(rows, "c string, t string"), "c", "t").collect()}
+    assert out == {("c", "pvf_relevant"): (1, 1)}
