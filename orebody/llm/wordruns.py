@@ -1,4 +1,4 @@
-"""Evaluation texts inside training text: rare n-gram seeds, then local alignment of what lies around them."""
+"""Evaluation texts inside training text: n-gram seeds, then local alignment of what lies around them."""
 
 from __future__ import annotations
 
@@ -75,32 +75,43 @@ def _regions(at: list[int], reach: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", edited: bool = True) -> DataFrame:
     """(doc_id, item_id, score, item_words, run): every pair that shares a seed of the item, aligned.
 
-    1. Every n-gram of 5 words of the items is looked up in every document: a narrow map over whole texts, against a
-       set of the items' n-grams. 2. Their document frequencies over the whole corpus say which are rare. 3. Of each
-       12-word window of an item the rarest n-gram (ties: the smallest) becomes a seed, so every document that repeats
-       a window holds its seed: nothing is lost by seeding. 4. Documents with seeds are read again, joined by doc_id,
-       and each item is aligned with the text around its seeds: Smith-Waterman over words scores edited copies, and the
-       longest run of equal consecutive words says whether a passage is held literally.
+    Every n-gram of 5 words of the items is a seed, looked up in every document: a narrow map over whole texts, against
+    the items' n-grams. Each item is aligned with the text around its seeds: Smith-Waterman over words scores edited
+    copies, and the longest run of equal consecutive words says whether a passage is held literally. A copy is missed
+    only if no 5 consecutive words of it stayed as they were.
 
-    Items of fewer than 12 words are seeded by their rarest n-gram, of fewer than 5 words not at all. Null, empty and
-    blank texts have no words. Repeated rows count once. The evaluation table is collected in blocks of a stated
-    number of rows, so that what the tasks hold stays bounded however large it is.
+    With ``edited`` off only copies of 12 words and more need be found: of each 12-word window of an item the rarest
+    n-gram (ties: the smallest) by document frequency over the whole corpus is its seed. A document that repeats a
+    window holds all its n-grams, so no literal window is lost, but most edited copies are; documents are read twice.
+
+    Items of fewer than 12 words are seeded by their n-grams (with ``edited`` off the rarest one), of fewer than 5 words
+    not at all. Null, empty and blank texts have no words. Repeated rows count once. The evaluation table is collected in
+    blocks of a stated number of rows, so that what the tasks hold stays bounded however large it is.
     """
     docs = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).filter(F.col("text").isNotNull())
     evals = items.select(F.col(f"`{item_id}`").cast("long").alias("item_id"), F.col(f"`{text}`").alias("text")).filter(F.col("text").isNotNull()).distinct()
     blocks = max(1, -(-evals.count() // ITEMS_AT_ONCE))
     out = None
     for block in range(blocks):
-        rows = evals.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        found = _leaks_of(docs, [(r.item_id, words(r.text)) for r in rows])
+        rows = [(r.item_id, words(r.text)) for r in evals.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()]
+        found = _aligned(docs, _every(rows), rows) if edited else _aligned(*_rare(docs, rows), rows)
         out = found if out is None else out.unionByName(found)
     return out.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), F.max("item_words").alias("item_words"), F.max("run").alias("run"))
 
 
-def _leaks_of(docs: DataFrame, evals: list[tuple[int, list[str]]]) -> DataFrame:
+def _every(evals: list[tuple[int, list[str]]]) -> dict[str, list[int]]:
+    seeds: dict[str, list[int]] = {}
+    for item, ws in evals:
+        for g in grams(ws, SEED):
+            seeds.setdefault(g, []).append(item)
+    return seeds
+
+
+def _rare(docs: DataFrame, evals: list[tuple[int, list[str]]]) -> tuple[DataFrame, dict[str, list[int]]]:
+    """The documents that hold the rarest n-gram of a window of an item, and these n-grams."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(frozenset(g for _, ws in evals for g in grams(ws, SEED)))
 
@@ -124,8 +135,19 @@ def _leaks_of(docs: DataFrame, evals: list[tuple[int, list[str]]]) -> DataFrame:
         width = RUN - SEED + 1
         for i in range(max(1, len(gs) - width + 1) if gs else 0):
             rarest = min(gs[i : i + width], key=lambda g: (frequency.get(g, 0), g))
-            if rarest in frequency:
+            if rarest in frequency:  # else no document holds the whole window
                 seeds.setdefault(rarest, []).append(item)
+    if not seeds:
+        return docs, seeds
+    rare = spark.createDataFrame([(g,) for g in seeds], "gram string")
+    with_seed = hits.join(rare, "gram", "left_semi").select("doc_id").distinct()
+    return docs.join(with_seed, "doc_id", "left_semi"), seeds
+
+
+def _aligned(docs: DataFrame, seeds: dict[str, list[int]], evals: list[tuple[int, list[str]]]) -> DataFrame:
+    spark = docs.sparkSession
+    if not seeds:
+        return spark.createDataFrame([], _PAIR)
     by_item: dict[int, list[list[str]]] = {}
     for item, ws in evals:
         by_item.setdefault(item, []).append(ws)
@@ -144,13 +166,9 @@ def _leaks_of(docs: DataFrame, evals: list[tuple[int, list[str]]]) -> DataFrame:
                 for item, places in at.items():
                     for other in texts[item]:
                         for a, b in _regions(places, 2 * len(other)):
-                            rows.append((i, item, *align(ws[a : b + SEED], other), len(other)))
+                            rows.append((i, item, *align(other, ws[a : b + SEED]), len(other)))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "run", "item_words"])[["doc_id", "item_id", "score", "item_words", "run"]].astype(
                 {"doc_id": "int64", "item_id": "int64", "score": "int64", "item_words": "int32", "run": "int32"}
             )
 
-    rare = spark.createDataFrame([(g,) for g in shared.value[0]], "gram string") if seeds else None
-    if rare is None:
-        return spark.createDataFrame([], _PAIR)
-    with_seed = hits.join(rare, "gram", "left_semi").select("doc_id").distinct()
-    return docs.join(with_seed, "doc_id", "left_semi").mapInPandas(extend, _PAIR)
+    return docs.mapInPandas(extend, _PAIR)

@@ -103,6 +103,19 @@ def test_leaks_against_brute_force(spark):
     assert wordruns.leaks(frames[0], frames[1].limit(0)).count() == 0
 
 
+def test_edited_copies_are_leaks(spark):
+    item = [f"w{k}" for k in range(60)]
+    copy = [f"changed{k}" if k % 10 == 9 else w for k, w in enumerate(item)]
+    docs = spark.createDataFrame([(1, " ".join(["before", *copy, "after"])), (2, " ".join(item[:4] + ["x"] + item[5:9]))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string")
+    # A rarer passage of the same item in another document must not draw the seeds away.
+    more = spark.createDataFrame([(3, " ".join(item[20:27])), (4, " ".join(copy)), (5, " ".join(copy))], "doc_id bigint, text string")
+    found = {r.doc_id: (r.item_id, r.score, r.item_words, r.run) for r in wordruns.leaks(docs.union(more), items).collect()}
+    assert found == {1: (7, 103, 60, 9), 3: (7, 14, 60, 7), 4: (7, 103, 60, 9), 5: (7, 103, 60, 9)}
+    literal = wordruns.leaks(docs.union(more), items, edited=False)
+    assert {r.doc_id for r in literal.collect() if r.run >= 12} == set()
+
+
 NAMES = pii.Names(frozenset({"howard", "elise", "daniel"}), frozenset({"kestovic", "silverin"}))
 
 
