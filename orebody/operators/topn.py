@@ -1,4 +1,4 @@
-"""Ordered picks per group: latest version of a key and the first N of a group."""
+"""Ordered picks per group: latest version of a key and the first N of a group; places of a whole table in one order."""
 
 from __future__ import annotations
 
@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orebody.session import cut_lineage
+
 _RANK = "__orebody_rank"
+_PART = "__orebody_part"
 
 
 def first_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, rank_as: str | None = None) -> DataFrame:
@@ -30,3 +33,23 @@ def first_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int
 def latest_by(df: DataFrame, key: Sequence[str], at: Column, tie: Sequence[Column] = ()) -> DataFrame:
     """The row of every key with the greatest ``at`` (null counts as earliest), then by ``tie``."""
     return first_n(df, key, [at.desc_nulls_last(), *tie], 1)
+
+
+def numbered(df: DataFrame, order: Sequence[Column], place_as: str) -> DataFrame:
+    """All rows with their place, from 1 and without gaps, in one order of the whole table.
+
+    A range-partitioned sort, materialised once; a row's place is its position in its partition after the rows of the
+    partitions before, so no task holds more than its range. Only a count per partition goes to the driver. Rows equal in
+    ``order`` get places in no stated order, so pass a total order; a column already named ``place_as`` is refused.
+    """
+    if place_as in df.columns:
+        raise ValueError(f"column {place_as} exists already")
+    within, part = F.monotonically_increasing_id(), F.spark_partition_id()
+    rows = cut_lineage(df.orderBy(*order)).withColumns({_PART: part, place_as: within})
+    sizes = sorted((r[_PART], r.n) for r in rows.groupBy(_PART).agg(F.count("*").alias("n")).collect())
+    before, offsets = 0, []
+    for k, n in sizes:
+        offsets.append((k, before - (k << 33) + 1))  # the ids of a partition begin at its number times 2 to the 33
+        before += n
+    starts = df.sparkSession.createDataFrame(offsets, f"{_PART} int, {_RANK} long")
+    return rows.join(F.broadcast(starts), _PART).withColumn(place_as, F.col(place_as) + F.col(_RANK)).select(*df.columns, place_as)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from orebody.functions import geo, text, url, values
 from orebody.operators import calibration, contacts, evidence, identity, ledger, support
-from orebody.operators.topn import latest_by
+from orebody.operators.topn import latest_by, numbered
 from orebody.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -238,6 +238,14 @@ def publication_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("contact_id", F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"))  # 500 rows at most
 
 
+@query()
+def publication_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole report: the place of every contact."""
+    rows = table(spark, sf_dir, "contact_records").select("contact_id", "company_final_score", "decision_rank", "full_name", "observed_at")
+    order = contacts.publication_order(*map(F.col, ("company_final_score", "decision_rank", "full_name", "contact_id")))
+    return numbered(latest_by(rows, ["contact_id"], F.col("observed_at"), order[:3]), order, "place").select("contact_id", "place")
+
+
 @query("""
 WITH e AS (SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_id, value FROM events),
 u AS (SELECT event_type AS provider, k AS request_count, CASE WHEN event_type = 'error' AND k % 17 = 0 THEN NULL ELSE 1.0 * k / 8 END AS cost_usd FROM e)

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from orebody.operators import calibration, contacts, evidence, identity, ledger
+from orebody.operators.topn import numbered
+from orebody.plans import domain
 from orebody.sources.labels_csv import read_labels
 from orebody.sources.ledger_jsonl import latest_records, read_ledger
 from orebody.sources.sinks import append_json, replace_csv, replace_json
@@ -141,3 +143,18 @@ def test_support(spark):
     rows = [("c", "We sell valves. We do not sell pipe; quotes are slow"), ("c", "Nous notons la vente"), ("d", None), (None, "We sell pipe"), ("e", "")]
     out = {(r.c, r.fact): (r.stated, r.denied) for r in support(spark.createDataFrame(rows, "c string, t string"), "c", "t").collect()}
     assert out == {("c", "pvf_relevant"): (1, 1)}
+
+
+def test_every_contact_has_a_place(spark, tmp_path):
+    schema = "contact_id string, company_final_score double, decision_rank int, full_name string, observed_at timestamp_ntz"
+    rows = spark.range(1201).selectExpr(
+        "concat('k', id)", "CASE WHEN id % 7 > 0 THEN CAST(id % 7 AS double) END", "CASE WHEN id % 5 > 0 THEN CAST(id % 5 AS int) END",
+        "CASE WHEN id % 11 > 0 THEN concat('n', id % 11) END", "timestamp_ntz'2026-01-01 00:00:00'",
+    ).toDF(*[c.split()[0] for c in schema.split(", ")])
+    rows.union(rows.limit(9)).repartition(5).write.parquet(str(tmp_path / "contact_records.parquet"))
+    last = lambda v: (v is None, v)
+    key = lambda r: (last(r.company_final_score and -r.company_final_score), last(r.decision_rank), last(r.full_name), r.contact_id)
+    want = {r.contact_id: k for k, r in enumerate(sorted(rows.collect(), key=key), 1)}
+    assert {r.contact_id: r.place for r in domain.publication_places(spark, str(tmp_path)).collect()} == want
+    assert {r.contact_id: r.place for r in domain.publication_order(spark, str(tmp_path)).collect()} == {c: k for c, k in want.items() if k <= 500}
+    assert numbered(rows.limit(0), [F.col("contact_id")], "place").isEmpty()
