@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations, product
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,8 +19,9 @@ EDITS = 2
 SHORTEST = 8
 # From this length on, names of one line of trade may be one edit further apart.
 LONG = 13
-# Letters that stay of a word cut short.
+# Letters that stay of a word cut short, and edits where one was cut short to meet another.
 PREFIX = 4
+CUT_EDITS = 1
 
 _FORM = T.StructType([
     T.StructField("owner", T.StringType()), T.StructField("form", T.StringType()), T.StructField("trade", T.StringType()),
@@ -37,19 +40,52 @@ def segments(length: int, k: int = EDITS) -> list[tuple[int, int]]:
     return out
 
 
-def index_keys(s: str, k: int = EDITS) -> list[str]:
-    """One key per segment: length, number and text."""
-    return [f"{len(s)}:{i}:{s[a : a + n]}" for i, (a, n) in enumerate(segments(len(s), k))]
+@lru_cache
+def borders(k: int) -> list[tuple[int, bool, bool]]:
+    """(segment, whether its first letter is swapped with the one before it, its last with the one behind it): keys of
+    which any k edits leave one.
 
+    An edit inside a segment damages that one, a swap across a border two. With such swaps undone the k + 1 segments hold
+    fewer edits than there are segments, so one is whole with at most as many edits on its left as segments, and on its
+    right; the plain keys and the fewest (greedily) swapped ones that meet all such cases are taken.
+    """
+    keys = [(i, x, y) for i in range(k + 1) for x, y in product((False, True), repeat=2) if (i or not x) and (i < k or not y)]
+    cases = []
+    for n in range(k + 1):
+        for crossed in combinations(range(1, k + 1), n):
+            for d in product(range(k - n + 1), repeat=k + 1):
+                if sum(d) <= k - n:
+                    cases.append({(i, i in crossed, i + 1 in crossed) for i in range(k + 1) if not d[i] and sum(d[:i]) <= i and sum(d[i:]) <= k - i})
+    out = [key for key in keys if not any(key[1:])]
+    while open_cases := [c for c in cases if c.isdisjoint(out)]:
+        out.append(max(keys, key=lambda key: sum(key in c for c in open_cases)))
+    return out
 
-def probe_keys(s: str, k: int = EDITS) -> list[str]:
-    """Keys under which any string up to k edits away, and no longer than s, has a segment.
 
-    By the pigeonhole principle one of its k + 1 segments is untouched and stands in s, shifted by at most k; the window
-    narrows with the number of segments on either side, as edits left of a segment and right of it add up.
+def index_keys(s: str, k: int = EDITS) -> list[str]:
+    """One key per segment: length, number and text; and those of segments with a swap across a border undone."""
+    cut = segments(len(s), k)
+    out = {}
+    for i, before, behind in borders(k):
+        a, n = cut[i]
+        t = list(s)
+        if n and before and a:
+            t[a - 1 : a + 1] = t[a], t[a - 1]
+        if n and behind and a + n < len(s):
+            t[a + n - 1 : a + n + 1] = t[a + n], t[a + n - 1]
+        out[f"{len(s)}:{i}:{''.join(t[a : a + n])}"] = None
+    return list(out)
+
+
+def probe_keys(s: str, k: int = EDITS, longer: int = 0) -> list[str]:
+    """Keys under which any string up to k edits away, and at most ``longer`` letters longer than s, has a segment.
+
+    By the pigeonhole principle one of its k + 1 segments is untouched (swaps across borders undone) and stands in s,
+    shifted by at most k; the window narrows with the number of segments on either side, as edits left of a segment and
+    right of it add up.
     """
     out = set()
-    for length in range(max(k + 1, len(s) - k), len(s) + 1):
+    for length in range(max(k + 1, len(s) - k), len(s) + longer + 1):
         more = len(s) - length
         for i, (a, n) in enumerate(segments(length, k)):
             low = max(0, a - i, a + more - (k - i))
@@ -90,7 +126,7 @@ def shown(pieces: list[str], cut: bool) -> tuple[set[str], set[str]]:
 
 def allowed(a: str, b: str, met: str, k: int) -> int:
     """Edits that two forms may be apart: one where one was cut short to meet the other, two between shorter forms."""
-    return 1 if len(met) < len(b) else k if min(len(a), len(b)) >= LONG else min(k, EDITS)
+    return CUT_EDITS if len(met) < len(b) else k if min(len(a), len(b)) >= LONG else min(k, EDITS)
 
 
 def segment_join(forms: DataFrame, k: int, by_trade: bool) -> DataFrame:
@@ -99,7 +135,7 @@ def segment_join(forms: DataFrame, k: int, by_trade: bool) -> DataFrame:
 
     ``forms``: form, pieces, cut, trade. Every form is indexed under the segments of its spellings and probed under its
     own; forms that meet under a key become distinct pairs, pass the JVM's banded Levenshtein distance (a swap counts
-    two there) and then the banded distance that counts a swap once. ``by_trade`` adds the line of trade to the key, so
+    two there, so twice as many are let through) and then the banded distance that counts a swap once. ``by_trade`` adds the line of trade to the key, so
     only forms of one trade meet and segments may be shorter.
     """
 
@@ -111,9 +147,9 @@ def segment_join(forms: DataFrame, k: int, by_trade: bool) -> DataFrame:
                 mark = f"{trade}:" if by_trade else ""
                 out += [(form, form, mark + x, True) for x in probe_keys(form, k)]
                 if cut:
-                    out += [(form, form, f"cut:{mark}{x}", True) for x in probe_keys(form, k)]
+                    out += [(form, form, f"cut:{mark}{x}", True) for x in probe_keys(form, CUT_EDITS, CUT_EDITS)]
                 out += [(form, s, mark + x, False) for s in whole for x in index_keys(s, k)]
-                out += [(form, s, f"cut:{mark}{x}", False) for s in short for x in index_keys(s, k)]
+                out += [(form, s, f"cut:{mark}{x}", False) for s in short for x in index_keys(s, CUT_EDITS)]
             yield pd.DataFrame(out, columns=_KEYS.names)
 
     some = forms.filter(F.col("trade").isNotNull()) if by_trade else forms.withColumn("trade", F.lit(""))
@@ -121,7 +157,7 @@ def segment_join(forms: DataFrame, k: int, by_trade: bool) -> DataFrame:
     keys = cut_lineage(keys.withColumn("key", F.xxhash64("key")))  # two keys of one hash only make a pair more to verify
     probe = keys.filter("probe").select(F.col("form").alias("a"), "key")
     index = keys.filter("NOT probe").select(F.col("form").alias("b"), "shown", "key")
-    close = F.levenshtein("a", "shown", k + 2) >= 0
+    close = F.levenshtein("a", "shown", 2 * k) >= 0
     near = probe.join(index, "key").filter((F.col("a") != F.col("b")) & close).select("a", "b", "shown").distinct()
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -39,6 +39,34 @@ def test_banded_distance_and_pigeonhole():
                 assert not set(variants.probe_keys(long)).isdisjoint(variants.index_keys(short))
 
 
+def test_segments_meet_across_swaps():
+    a, b = "bokilickfavopack", "bokiilckfavopick"
+    assert naming.edits(a, b, 2) == 2 and not set(variants.probe_keys(a)).isdisjoint(variants.index_keys(b))
+    rng = random.Random(3)
+    for _ in range(6000):
+        s = [rng.choice("abcdefghij") for _ in range(rng.randint(8, 18))]
+        t = list(s)
+        for _ in range(rng.randint(1, 3)):
+            p = rng.randrange(len(t) - 1)
+            t[p : p + 2] = rng.choice([t[p : p + 2][::-1], t[p : p + 2][::-1], ["x", t[p + 1]], [t[p + 1]], ["x", *t[p : p + 2]]])
+        long, short = sorted(("".join(s), "".join(t)), key=len, reverse=True)
+        for k in (1, 2, 3):
+            if naming.edits(long, short, k) <= k:
+                assert not set(variants.probe_keys(long, k)).isdisjoint(variants.index_keys(short, k)), (long, short, k)
+        if naming.edits(long, short, 1) <= 1:
+            assert not set(variants.probe_keys(short, 1, 1)).isdisjoint(variants.index_keys(long, 1))
+
+
+def test_segment_join_of_swaps_and_cut_forms(spark):
+    forms = [("bokilickfavopack", ["bokilick", "favopack"], False), ("bokiilckfavopick", ["bokiilck", "favopick"], False), ("bokifavopak", ["boki", "favopak"], True),
+             ("ecadgfhibjklm", ["ecadgfhibjklm"], False), ("ceadfghbijklm", ["ceadfghbijklm"], False)]
+    df = spark.createDataFrame([(*f, "valve") for f in forms], "form string, pieces array<string>, cut boolean, trade string")
+    two = {(r.a, r.b, r.distance) for r in variants.segment_join(df, 2, by_trade=False).collect()}
+    assert two == {("bokiilckfavopick", "bokilickfavopack", 2), ("bokifavopak", "bokilickfavopack", 1)}
+    three = {(r.a, r.b, r.distance) for r in variants.segment_join(df, 3, by_trade=True).collect()}
+    assert three == two | {("ceadfghbijklm", "ecadgfhibjklm", 3)}
+
+
 @pytest.mark.parametrize("name, words, trade", [
     (" D/B/A Firitack & Lubime (Pump Svcs), L.L.C. ", ("firitack", "lubime"), "pump"), ("Mech Contr., Soze.bekenim Co.", ("soze", "bekenim"), "mechanical"),
     ("tomozemfemaro.example", ("tomozemfemaro",), None), ("fopelux-tababir-group.example", ("fopelux", "tababir"), None),
