@@ -61,13 +61,17 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Truth discovery over the same table: runs are the sources, what a snapshot says of a field is its claim."""
+    """Truth discovery over the same table: runs are the sources, what a snapshot says of a field is its claim (of
+    discovery_records the sorted distinct record_ids; country is claimed beside the three dealt fields)."""
     rows = table(spark, sf_dir, "company_records")
     place = F.transform(F.col("locations_if_known"), lambda x: F.lower(survivors.trimmed(x)))
+    record = F.transform(F.col("discovery_records.record_id"), survivors.trimmed)
+    listed = lambda entries: F.array_join(F.array_sort(F.array_distinct(F.filter(entries, lambda x: x.isNotNull() & (x != "")))), "|")
     said = {
+        "discovery_records": listed(record),
         "domain": F.when(F.col("domain").rlike(HOST), F.lower("domain")),
         "country": F.nullif(survivors.trimmed(F.col("country")), F.lit("")),
-        "locations_if_known": F.array_join(F.array_sort(F.array_distinct(F.filter(place, lambda x: x.isNotNull() & (x != "")))), "|"),
+        "locations_if_known": listed(place),
     }
     claim = F.explode(F.array(*[F.struct(F.lit(k).alias("field"), F.nullif(v, F.lit("")).alias("value")) for k, v in said.items()]))
     claims = rows.select(F.col("company_id").alias("entity"), F.col("run_id").alias("source"), claim.alias("c")).select("entity", "source", "c.field", "c.value")

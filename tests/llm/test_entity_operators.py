@@ -4,7 +4,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from orebody.llm import linkage, naming, survivors, variants
+from orebody.llm import linkage, naming, queries, survivors, variants
 from orebody.llm.components import components
 
 
@@ -148,3 +148,14 @@ def test_truth_discovery(spark):
     found = {r.entity: r.value for r in survivors.discover_truth(df).collect()}
     assert sum(found[e] == "t" for e in truth) >= 74 and len(found) == 80
     assert survivors.discover_truth(df.limit(0)).count() == 0
+
+
+def test_truth_of_every_dealt_field(spark, tmp_path):
+    schema = "company_id string, run_id string, domain string, country string, locations_if_known array<string>, discovery_records array<struct<record_id: string>>"
+    rows = [
+        ("c", "r1", "a.example", "US", ["X"], [("b ",), ("a",), ("a",), (" ",), (None,)]), ("c", "r2", "a.example", "US", ["x"], [("a",), ("b",)]),
+        ("c", "r3", "a.example", "US", ["x"], [("z",)]), ("d", "r1", None, None, None, None), ("d", "r2", None, None, [], []),
+    ]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "company_records.parquet"))
+    found = {(r.company_id, r.field_name): r.value for r in queries.p5_truth(spark, str(tmp_path)).collect()}
+    assert found == {("c", "discovery_records"): "a|b", ("c", "domain"): "a.example", ("c", "country"): "US", ("c", "locations_if_known"): "x"}
