@@ -131,6 +131,16 @@ def test_pii_kinds(text, kinds):
     assert {x.kind for x in pii.spans(text, NAMES)} == kinds
 
 
+@pytest.mark.parametrize("text, kinds", [
+    ("on file: 524-37-4797", {"id_number"}), ("on file: 666-37-4797", set()), ("on file: 000-12-3456", set()), ("Order no. 524-37-4797", set()),
+    ("on file: 130 692 544", {"id_number"}), ("on file: 130 692 545", set()), ("dossier 1 85 05 78 006 084 91", {"id_number"}), ("dossier 1 85 05 78 006 084 92", set()),
+    ("SSN 666 64 7037", {"id_number"}), ("Ask for Howard Unheard today", {"person_name"}), ("Contact Elise Unheard.", {"person_name"}), ("Ask for Howard Valve", set()),
+    ("valves for Howard County", set()), ("Contact Daniel Brand Supply", set()),
+])
+def test_checks_decide_on_unlabelled_numbers_and_unknown_family_names(text, kinds):
+    assert {x.kind for x in pii.spans(text, NAMES)} == kinds
+
+
 def test_redaction_and_checks(spark):
     rows = spark.createDataFrame([("r", "Howard Kestovic: 604-555-0140.", "k"), ("r", "Howard Kestovic: 604-555-0140.", "k"), ("s", None, "k"), (None, "a@b.example", "k")], "id string, t string, kinds string")
     out = {(r.row_id, r.redacted) for r in pii.find_personal(rows, "id", "t", NAMES).collect()}
