@@ -14,9 +14,8 @@ from pyspark.sql import types as T
 
 KINDS = ("email", "phone", "id_number", "street_address", "person_name")
 THRESHOLD = 0.6
-# Most name tokens that tasks hold; of a larger table the most frequent are kept.
+# Most name tokens that tasks hold; a larger table of names is refused rather than cut.
 MOST_NAMES = 200_000
-LEAST_NAME_ROWS = 2
 
 # ---- validators ----------------------------------------------------------------------------------------------------
 
@@ -274,15 +273,18 @@ def redact(text: str, found: list[Span]) -> str:
 
 
 def known_names(people: DataFrame, full_name: str) -> Names:
-    """The first and last tokens of a table of people's names: a gazetteer of bounded size, the most frequent first.
+    """The first and last tokens of a table of people's names, each of three letters or more: a gazetteer that tasks hold,
+    so more than MOST_NAMES distinct tokens are refused, as names left out would stay in the texts.
 
-    Tokens of at least LEAST_NAME_ROWS rows and three letters; counted over all rows, combined before the shuffle.
+    Tokens are made distinct before the shuffle; a name of one row counts as any other.
     """
     name = F.regexp_replace(F.trim(F.split(F.col(f"`{full_name}`"), ",")[0]), r"\s+", " ")
     token = F.split(name, " ")
     pairs = F.explode(F.array(F.struct(F.lit(True).alias("first"), F.lower(token[0]).alias("t")), F.struct(F.lit(False).alias("first"), F.lower(F.element_at(token, -1)).alias("t"))))
-    rows = people.filter(F.size(token) > 1).select(pairs.alias("p")).groupBy("p.first", "p.t").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_NAME_ROWS)
-    top = rows.filter(F.length("t") > 2).orderBy(F.desc("n"), "t").limit(MOST_NAMES).collect()
+    rows = people.filter(F.size(token) > 1).select(pairs.alias("p")).select("p.first", "p.t").filter(F.length("t") > 2).distinct()
+    top = rows.limit(MOST_NAMES + 1).collect()
+    if len(top) > MOST_NAMES:
+        raise ValueError(f"more name tokens than tasks should hold ({MOST_NAMES})")
     given, family = ({fold(r.t) for r in top if r["first"] == side and "." not in r.t} for side in (True, False))
     return Names(frozenset(given), frozenset(family))
 

@@ -150,3 +150,11 @@ def test_redaction_and_checks(spark):
     assert pii.mod97("GB82WEST12345698765432")
     people = spark.createDataFrame([("Ana Ruiz",), ("Ana  Ruiz, PE",), ("X",), (None,)], "n string")
     assert pii.known_names(people, "n") == pii.Names(frozenset({"ana"}), frozenset({"ruiz"}))
+
+
+def test_no_name_is_left_out(spark, monkeypatch):
+    people = spark.createDataFrame([("Ana Ruiz",), ("Ana Ruiz",), ("Tove Ekdal",)], "n string")
+    assert pii.known_names(people, "n") == pii.Names(frozenset({"ana", "tove"}), frozenset({"ruiz", "ekdal"}))
+    monkeypatch.setattr(pii, "MOST_NAMES", 3)
+    with pytest.raises(ValueError):
+        pii.known_names(people, "n")
