@@ -132,5 +132,4 @@ def parse(name: str | None) -> Name:
         if sum(len(w) for w, _ in out) >= 6:
             break
         out = [] if place is kept and kept != low else out
-    out = out[:4]
     return Name(tuple(w for w, _ in out), tuple(c for _, c in out), trade)

@@ -16,7 +16,9 @@ from orebody.llm.naming import edits, host_label, parse
 from orebody.session import cut_lineage
 
 EDITS = 2
+# Forms of fewer letters are one edit apart at most, and within one line of trade; below LEAST they must be equal.
 SHORTEST = 8
+LEAST = 4
 # From this length on, names of one line of trade may be one edit further apart.
 LONG = 13
 # Letters that stay of a word cut short, and edits where one was cut short to meet another.
@@ -174,19 +176,23 @@ def variant_classes(df: DataFrame, owner: str, name: str, other: str, site: str)
     Names are folded and taken apart; what is their own is joined into one form, in either order. Distinct forms are
     linked at EDITS edits unless both name lines of trade and none in common, and at one more edit within one line of
     trade. Owners hang on their forms, so a name that millions of rows share is one form and one star of links, never
-    pairs. Classes are the connected components. Null owners and names with too few letters of their own link nothing;
+    pairs. Forms of fewer than SHORTEST letters are linked if equal, and from LEAST letters on at one edit within one
+    line of trade. Classes are the connected components. Null owners and names with no word of their own link nothing;
     repeated rows count once.
     """
     col = lambda c: F.col(f"`{c}`").cast("string")
     rows = df.select(col(owner).alias("owner"), col(name).alias("name"), col(other).alias("other"), col(site).alias("site")).filter(F.col("owner").isNotNull()).distinct()
-    forms = cut_lineage(_forms(rows).filter(F.length("form") >= SHORTEST))
+    every = cut_lineage(_forms(rows))
+    forms = every.filter(F.length("form") >= SHORTEST)
+    brief = every.filter(F.length("form").between(LEAST, SHORTEST))  # the shortest of the others stand one edit away
     trades = forms.groupBy("form").agg(F.collect_set("trade").alias("trades"))  # at most as many as there are lines of trade
     near = segment_join(forms, EDITS, by_trade=False)
     both = near.join(trades.select(F.col("form").alias("a"), F.col("trades").alias("ta")), "a").join(trades.select(F.col("form").alias("b"), F.col("trades").alias("tb")), "b")
     apart = (F.size("ta") > 0) & (F.size("tb") > 0) & ~F.arrays_overlap("ta", "tb")
     linked = both.filter(~apart).select("a", "b").unionByName(segment_join(forms, EDITS + 1, by_trade=True).select("a", "b"))
+    linked = linked.unionByName(segment_join(brief, 1, by_trade=True).select("a", "b"))
     nodes = linked.select(F.concat(F.lit("f:"), "a").alias("a"), F.concat(F.lit("f:"), "b").alias("b"))
-    stars = forms.select(F.concat(F.lit("o:"), "owner").alias("a"), F.concat(F.lit("f:"), "form").alias("b"))
+    stars = every.select(F.concat(F.lit("o:"), "owner").alias("a"), F.concat(F.lit("f:"), "form").alias("b"))
     classes = components(nodes.unionByName(stars))
     return classes.filter(F.col("node").startswith("o:")).select(F.expr("substring(node, 3)").alias("owner"), F.col("component").alias("class"))
 

@@ -90,6 +90,17 @@ def test_variant_classes(spark):
     assert variants.variant_classes(df.limit(0), "owner", "name", "other", "site").count() == 0
 
 
+def test_short_and_long_names(spark):
+    names = {
+        "a": "Apex Valve", "b": "APEX VALVES INC.", "c": "Apxe Valve Supply", "d": "Apxe Steel", "e": "Ab Valve", "f": "Ac Valve", "g": "AB Valves Ltd",
+        "h": "Bokilick Favopack Nuzeke Tozonir Gipegolan Valve", "i": "Bokilick Favopack Nuzeke Tozonir Mifedarob Valve", "j": "Tozonir Pump", "k": "Tozonirr Pumps",
+    }
+    df = spark.createDataFrame([(o, n, None, None) for o, n in names.items()], "owner string, name string, other string, site string")
+    pairs = {(r.a, r.b) for r in variants.class_pairs(variants.variant_classes(df, "owner", "name", "other", "site")).collect()}
+    assert pairs == {*combinations("abcd", 2), ("e", "g"), ("j", "k")}  # c and d are of one form
+    assert len(naming.parse(names["h"]).words) == 5
+
+
 def test_components(spark):
     links = spark.createDataFrame([(f"n{k:02}", f"n{k + 1:02}") for k in range(40)] + [("x", "y"), ("y", "x"), ("z", "z"), (None, "q")], "a string, b string")
     found = {r.node: r.component for r in components(links).collect()}
