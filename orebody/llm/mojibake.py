@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +47,7 @@ class _Codec:
     to_byte: dict[str, int]
     pattern: re.Pattern[str]
     leads: frozenset[str]
+    quick: re.Pattern[str]
 
 
 @lru_cache(maxsize=None)
@@ -57,7 +58,8 @@ def _codec(name: str) -> _Codec:
     chars = lambda a, b: "[" + "".join(re.escape(c) for c, x in to_byte.items() if a <= x <= b) + "]"
     more = chars(0x80, 0xBF)
     unit = f"(?:{chars(0xC2, 0xDF)}{more}|{chars(0xE0, 0xEF)}{more}{{2}}|{chars(0xF0, 0xF4)}{more}{{3}})"
-    return _Codec(name, to_byte, re.compile(f"{unit}+"), frozenset(c for c, x in to_byte.items() if 0xC2 <= x <= 0xF4))
+    leads = frozenset(c for c, x in to_byte.items() if 0xC2 <= x <= 0xF4)
+    return _Codec(name, to_byte, re.compile(f"{unit}+"), leads, re.compile(chars(0xC2, 0xF4) + more))
 
 
 def _script(char: str) -> str:
@@ -97,6 +99,7 @@ def _as_utf8(text: str, codec: _Codec) -> tuple[str, int]:
 _SIGNS = set("‚„∞∂√∫≠≥≤∑∏πΩ◊¸ˆ˙‰˜´¨¬˚˝˛ˇ˘¯ªº¿¡ﬂﬁ‡†‹›ÿ")
 
 
+@lru_cache(maxsize=200_000)
 def _token_cost(token: str) -> int:
     """How garbled a white-space free token looks: mixed scripts, capitals and signs inside words, controls."""
     cost, scripts, last = 0, set(), ""
@@ -120,20 +123,11 @@ def _token_cost(token: str) -> int:
     return cost
 
 
-_TOKEN = re.compile(r"\S*[^\x00-\x7F\s]\S*")
-# Mac Roman views of dashes, quotes, bullets and degrees, where they stand alone and so clash with no word.
-_LONE = re.compile(
-    r"(?<![lL]a )(?<!letra )(?<=\w )ñ(?= [A-ZÀ-Ý])|(?m:^ï(?= \w))|(?<![^\W\d_])ì(?=[^\W\d_]{2})|(?<=\d)∞(?=[CF]\b)|(?<=\d )∞(?=[CF]\b)"
-    r"|(?<=[a-zà-ÿ,] )‡(?= \w)|(?<=[a-zà-ÿ])·(?=[a-zà-ÿ]{3})|(?<=[a-zà-ÿ]{4})·(?= )|(?<!\S)´(?= [A-ZÀ-Ý])|(?<= )ª(?=[ ,.:;])"
-)
-# A Cyrillic letter by itself between Latin words.
-_LONE_CYRILLIC = re.compile(r"(?<=[a-zà-ÿ,] )[а-я](?= [a-zà-ÿA-Z])")
-# What else the same view shows in a text that gave itself away elsewhere.
-_ALSO = re.compile(r"(?<=[a-zà-ÿ])·(?=[a-zà-ÿ\s])|(?<=\w )ñ(?= \w)|(?<![^\W\d_])ó(?= )|(?<=[\w,.!?])î(?=[\s,.;]|$)|(?<!\w)([lLdDnNsSjJcCmMtT]|[qQ]u)í(?=[aeéèêhiou])|∞|‡")
+_TOKEN = re.compile(r"\S+")
 
 
 def _as_cp1252(text: str, name: str, suspects: dict[str, int]) -> tuple[str, int]:
-    """Tokens of Western single-byte text that were shown under another single-byte encoding."""
+    """Tokens of Western single-byte text that were shown under another single-byte encoding, where that lowers their cost."""
     codec, changed = _codec(name), 0
 
     def turn(token: str) -> str | None:
@@ -152,18 +146,22 @@ def _as_cp1252(text: str, name: str, suspects: dict[str, int]) -> tuple[str, int
             return out
         return token
 
-    def alone(m: re.Match[str]) -> str:
-        return turn(m.group()) or m.group()
+    lines = []
+    for line in text.splitlines(keepends=True):
+        before = changed
+        out = _TOKEN.sub(read, line)
+        if changed > before and (whole := turn(line)) and whole != out and _line_cost(whole) <= _line_cost(out) and changed - before >= min(2, _changes(out, whole)):
+            out = whole
+        lines.append(out)
+    return "".join(lines), changed
 
-    out = _TOKEN.sub(read, text) if suspects else text
-    if name == "mac_roman":
-        lone = _LONE.sub(alone, out)
-        changed += sum(a != b for a, b in zip(out, lone))
-        out = _ALSO.sub(alone, lone) if changed else lone
-    if name == "cp1251":  # words of one letter have nothing to clash with
-        out, more = _LONE_CYRILLIC.subn(alone, out)
-        changed += more
-    return out, changed
+
+def _line_cost(line: str) -> int:
+    return sum(_token_cost(t) for t in line.split() if not t.isascii())
+
+
+def _changes(one: str, other: str) -> int:
+    return sum(a != b for a, b in zip(one.split(), other.split()))
 
 
 def _weight(text: str) -> int:
@@ -174,10 +172,11 @@ def _weight(text: str) -> int:
 def repair(text: str | None) -> tuple[str | None, list[str], bool]:
     """(repaired text, encodings undone, whether anything stays lost).
 
-    Null and ASCII texts come back as they are. Every candidate is applied for as many layers as it
-    reads, the reading of least garbling cost is kept (the first candidate on a tie), and the search starts again on it
-    until none changes anything. A
-    replacement character cannot be undone: it counts as lost.
+    Null and ASCII texts come back as they are. Every candidate is applied for as many layers as it reads, the reading of
+    least garbling cost is kept (the first candidate on a tie), and the search starts again on it until none changes
+    anything. Then words of Western single-byte text shown as another single-byte encoding are read as such where their
+    cost drops, and with them the signs of their line, if it as a whole decodes and costs no more. A sign or a letter by itself is no
+    evidence: it is left. A replacement character cannot be undone: it counts as lost.
     """
     if text is None or text.isascii():
         return text, [], False
@@ -186,8 +185,11 @@ def repair(text: str | None) -> tuple[str | None, list[str], bool]:
         there, readings = set(text), []
         for k, name in enumerate(LEGACY):
             layers, out = 0, text
-            while layers < MAX_LAYERS and not there.isdisjoint(_codec(name).leads):
-                after, changed = _as_utf8(out, _codec(name))
+            codec = _codec(name)
+            if there.isdisjoint(codec.leads) or not codec.quick.search(text):
+                continue
+            while layers < MAX_LAYERS:
+                after, changed = _as_utf8(out, codec)
                 if not changed:
                     break
                 layers, out = layers + 1, after
@@ -197,8 +199,8 @@ def repair(text: str | None) -> tuple[str | None, list[str], bool]:
             break
         _, _, layers, name, text = min(readings)
         undone += [f"{name}>utf_8"] * layers
-    suspects = {t: cost for t in set(_TOKEN.findall(text)) if (cost := _token_cost(t))}
-    if suspects or _LONE.search(text) or _LONE_CYRILLIC.search(text):
+    suspects = {t: cost for t in set(text.split()) if not t.isascii() and (cost := _token_cost(t))}
+    if suspects:
         readings = [(-changed, k, n, out) for k, n in enumerate(SINGLE_BYTE) for out, changed in [_as_cp1252(text, n, suspects)] if changed]
         if readings:
             _, _, name, text = min(readings)
@@ -219,16 +221,12 @@ def repair_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     Null, empty and blank texts are not garbled. Repeated rows come out as often as they go in. Extra columns are not read.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(i, *repair(t)) for i, t in zip(batch["doc_id"], batch["text"])]
-            rows = [r for r in rows if r[2] or r[3]]
-            yield pd.DataFrame(rows, columns=["doc_id", "repaired", "encodings", "lost"])
+            rows = [(i, *repair(t)) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            columns = list(zip(*(r for r in rows if r[2] or r[3]))) or [()] * 4
+            kinds = (pa.int64(), pa.string(), pa.list_(pa.string()), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], _OUT.names)
 
     narrow = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return narrow.filter(F.col("text").rlike(r"[^\x00-\x7F]")).mapInPandas(run, _OUT)
-
-
-def normal_form(text: str) -> str:
-    """NFC, for comparing repaired texts with originals."""
-    return unicodedata.normalize("NFC", text)
+    return narrow.filter(F.col("text").rlike(r"[^\x00-\x7F]")).mapInArrow(run, _OUT)
