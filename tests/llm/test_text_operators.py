@@ -54,11 +54,17 @@ def test_layers_and_single_byte():
 
 @pytest.mark.parametrize("text", [
     None, "", "plain", "PRODUÇÃO E DISTRIBUIÇÃO", "ÂGE DU RÉSEAU", "façade Ã‑type", "Файл № 77 приложен. ", "仕様書は 12 枚", "la ñ 291", "12½ N·m, 1×14, § 5", "»Spaß« ™ ® ©",
+    "see note ‡ below", "the letter я in Russian", "côte·à·côte", "la col·lecció de vàlvules", "de 20 ∞ à l’infini", "• voir ‡ – côté « nord »",
 ])
 def test_clean_text_stays(text):
     assert mojibake.repair(text) == (text, [], False)
 
 
+def test_signs_are_read_with_their_line():
+    text = "Según la dirección – “nadie” cerrará la válvula a 128 °F; más rápido, ¡atención!"
+    assert mojibake.repair(text.encode("cp1252").decode("mac_roman")) == (text, ["mac_roman>cp1252"], False)
+
+
 def test_repair_rows(spark):
     rows = spark.createDataFrame([(1, "sociÃ©tÃ©", 9), (2, None, 9), (3, "", 9), (4, "ok é", 9), (1, "sociÃ©tÃ©", 9)], "doc_id bigint, text string, repaired int")
     assert sorted((r.doc_id, r.repaired) for r in mojibake.repair_texts(rows).collect()) == [(1, "société"), (1, "société")]
@@ -95,11 +101,14 @@ def test_leaks_against_brute_force(spark):
         ws, n = items[k % 6][1].split(), rng.randrange(8, 16)
         docs.append((k, f"x y {', '.join(ws[3 : 3 + n]).upper()}! z"))
     frames = spark.createDataFrame(docs + docs[-1:], "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
-    grams = {k: set(wordruns.grams(wordruns.words(t), 12)) for k, t in items}
-    want = {(d, k) for d, t in docs for k, g in grams.items() if g & set(wordruns.grams(wordruns.words(t), 12))}
+    runs = lambda t: {tuple(ws[i : i + 12]) for ws in [wordruns.words(t)] for i in range(len(ws) - 11)}
+    grams = {k: runs(t) for k, t in items}
+    want = {(d, k) for d, t in docs for k, g in grams.items() if g & runs(t)}
     found = wordruns.leaks(*frames)
     assert {(r.doc_id, r.item_id) for r in found.collect() if r.run >= 12} == want and want
+    assert {(r.doc_id, r.item_id) for r in wordruns.leaks(*frames, edited=False).collect() if r.run >= 12} == want
     assert wordruns.leaks(frames[0].limit(0), frames[1]).count() == 0
+    assert wordruns.leaks(frames[0].limit(0), frames[1], edited=False).count() == 0
     assert wordruns.leaks(frames[0], frames[1].limit(0)).count() == 0
 
 
@@ -116,6 +125,29 @@ def test_edited_copies_are_leaks(spark):
     assert {r.doc_id for r in literal.collect() if r.run >= 12} == set()
 
 
+@pytest.mark.parametrize("rate", [0.05, 0.1, 0.2])
+def test_recall_of_edited_copies(spark, rate):
+    rng = random.Random(int(rate * 100))
+    word = lambda: rng.choice("valve pipe pump the of and order steel quote crew dock field".split()) + rng.choice(["", "s", "ed", str(rng.randrange(50))])
+    items = [(k, [word() for _ in range(60)]) for k in range(40)]
+    docs = []
+    for k, ws in items:
+        for n in range(3):
+            copy = [e for w in ws for e in ([w] if rng.random() >= rate else rng.choice([[word()], [], [w, word()]]))]
+            docs.append((k * 10 + n, " ".join([*(word() for _ in range(30)), *copy, *(word() for _ in range(30))])))
+    frames = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(k, " ".join(ws)) for k, ws in items], "item_id bigint, text string")
+    found = {r.doc_id for r in wordruns.leaks(*frames).collect() if r.item_id == r.doc_id // 10 and r.score >= r.item_words}
+    assert len(found) >= 0.9 * len(docs)
+
+
+def test_items_in_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, " ".join(f"w{i}" for i in range(k, k + 30))) for k in range(12)], "doc_id bigint, text string")
+    items = docs.toDF("item_id", "text")
+    whole = {tuple(r) for r in wordruns.leaks(docs, items).collect()}
+    monkeypatch.setattr(wordruns, "CHARACTERS_AT_ONCE", 400)
+    assert {tuple(r) for r in wordruns.leaks(docs, items).collect()} == whole
+
+
 NAMES = pii.Names(frozenset({"howard", "elise", "daniel"}), frozenset({"kestovic", "silverin"}))
 
 
