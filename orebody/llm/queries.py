@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebody.llm import canonical, encode, linkage, mojibake, pii, survivors, variants, wordruns
-from orebody.operators.topn import first_n, latest_by
+from orebody.llm import canonical, encode, leading, linkage, mojibake, pii, survivors, variants, wordruns
 from orebody.session import table
 
 HOST = r"^[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+\z"
@@ -96,9 +95,9 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "contact_records").select("contact_id", "company_id", "decision_rank", "full_name", "observed_at")
     rank = F.when(F.col("decision_rank").between(1, 3), F.col("decision_rank")).otherwise(4)
     tie = [F.col("company_id").asc_nulls_last(), rank, F.col("full_name").asc_nulls_last()]
-    latest = latest_by(rows, ["contact_id"], F.col("observed_at"), tie).filter(F.col("company_id").isNotNull())
-    order = [rank, F.col("full_name").asc_nulls_last(), F.col("contact_id").asc_nulls_last()]
-    return first_n(latest, ["company_id"], order, 3).select("company_id", "contact_id")
+    latest = leading.versions(rows, ["contact_id"], F.col("observed_at"), tie).filter(F.col("company_id").isNotNull())
+    by = [rank, F.col("full_name").asc_nulls_last()]
+    return leading.leading(latest, ["company_id"], by, [F.col("contact_id").asc_nulls_last()], 3).select("company_id", "contact_id")
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
