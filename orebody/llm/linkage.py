@@ -11,20 +11,28 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from orebody.functions.geo import REGIONS
 from orebody.llm.components import components
 from orebody.llm.naming import Name, edits, fold, parse
-from orebody.llm.variants import EDITS, SHORTEST, segment_join
+from orebody.llm.variants import segment_links
 from orebody.session import cut_lineage
 
 # Weights of the rules.
 SITE_RULE, LINK_RULE, NAME_RULE, PRIOR_RULE, SUFFIX_RULE, ELSEWHERE_RULE, AGREE_RULE = 8.0, 4.0, 1.0, 0.3, 2.0, 1.5, 1.0
-STEP, ROUNDS, TOLERANCE = 1.0, 60, 2e-3
+# Length of a step, and the greatest move of a value or gap between its copies at which the rounds end; a class that
+# needs more than ROUNDS is an error, never a result.
+STEP, TOLERANCE, ROUNDS = 1.0, 2e-4, 20_000
+# Truths of a name class up to which a task solves it as a whole; larger classes are solved by all tasks together.
+WHOLE_CLASS = 100_000
+# Truths that a task gathers (whole classes) before it solves them in one go.
+TOGETHER = 20_000
 # Rounds between two cuts of the lineage.
 EACH = 6
 LEAST_TRUTH = 0.3
@@ -63,10 +71,11 @@ def site_parts(domain: str) -> tuple[str, str | None]:
 
 def alike(name: Name, base: str) -> bool:
     """Whether a site's own part reads like the name: few edits in either order, a cut-short part, or many shared pairs."""
-    for order in (name.words, name.words[::-1]):
-        joined = "".join(order)
-        if edits(joined, base, 4) <= 4:
-            return True
+    orders = ["".join(name.words), "".join(name.words[::-1])]
+    if base in orders:
+        return True
+    if any(edits(joined, base, 4) <= 4 for joined in orders):
+        return True
     pairs = lambda s: {s[i : i + 2] for i in range(len(s) - 1)}
     a, b = pairs(name.core), pairs(base)
     return bool(a and b) and 2 * len(a & b) / (len(a) + len(b)) >= 0.6
@@ -83,24 +92,33 @@ def place(city: str | None, region: str | None) -> tuple[str | None, str | None]
 
 
 def _parsed(rows: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["source", "record_id", "name", "site", "link", "city", "region"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for r in batch.itertuples(index=False):
-                name = parse(r.name)
+            for source, record_id, text, site, link, town, area in zip(*(batch.column(k).to_pylist() for k in range(len(names)))):
+                name = parse(text)
                 if not name.words or _BLANK_NAMES.issuperset(name.words):
                     name = Name((), (), None)
-                first, second = domain_of(r.site), domain_of(r.link)
-                city, region = place(r.city, r.region)
+                first, second = domain_of(site), domain_of(link)
+                city, region = place(town, area)
                 for domain, linked in ((first, False), (second, True)) if first != second else ((first, False),):
                     if domain is None and (linked or second):
                         continue
                     base, suffix = site_parts(domain) if domain else (None, None)
                     fits = alike(name, base) if name.words and base else None
-                    out.append((r.source, r.record_id, name.core or None, name.trade, list(name.words) or None, any(name.cut), domain, base or None, suffix, linked, fits, city, region))
-            yield pd.DataFrame(out, columns=_PARSED.names)
+                    out.append((source, record_id, name.core or None, name.trade, list(name.words) or None, any(name.cut), domain, base or None, suffix, linked, fits, city, region))
+            columns = list(zip(*out)) or [()] * len(_PARSED)
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, to_arrow_schema(_PARSED).types)], _PARSED.names)
+
+    return rows.select(*[F.col(c).cast("string").alias(c) for c in names]).mapInArrow(run, _PARSED)
 
-    return rows.mapInPandas(run, _PARSED)
+
+def _found(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """rows with the columns of ``known`` that belong to their key; rows without a key are spread, not sent to one task."""
+    spread = F.coalesce(F.concat(F.lit("="), key), F.pmod(F.xxhash64("record_id"), F.lit(1 << 20)).cast("string"))
+    return rows.withColumn("_key", spread).join(known.withColumn("_key", F.concat(F.lit("="), key)).drop(key), "_key", "left").drop("_key")
 
 
 def _resolved(parsed: DataFrame) -> DataFrame:
@@ -108,14 +126,14 @@ def _resolved(parsed: DataFrame) -> DataFrame:
     region is the one in which its city mostly lies."""
     shared = parsed.filter(F.col("domain").isNotNull() & F.col("fits").isNotNull()).groupBy("domain").agg(F.count("*").alias("n"), F.avg(F.col("fits").cast("int")).alias("share"))
     shared = shared.filter((F.col("n") >= DIRECTORY_ROWS) & (F.col("share") <= DIRECTORY_SHARE)).select("domain", F.lit(True).alias("directory"))
-    rows = parsed.join(shared, "domain", "left")
+    rows = _found(parsed, shared, "domain")
     own = F.when(F.col("directory").isNull() & F.col("base").isNotNull(), F.struct(F.col("linked"), F.col("base"), F.col("suffix"), F.col("fits")))
     keys = ["source", "record_id", "form", "trade", "pieces", "cut", "city", "region"]
     rows = rows.groupBy(*keys).agg(F.min(own).alias("site"))
     lies = rows.filter(F.col("city").isNotNull() & F.col("region").isNotNull()).groupBy("city", "region").agg(F.count("*").alias("n"))
     mostly = lies.groupBy("city").agg(F.max_by("region", F.struct("n", "region")).alias("usual"), F.max("n").alias("most"), F.sum("n").alias("all"))
     mostly = mostly.filter(F.col("most") >= 0.8 * F.col("all")).select("city", "usual")
-    out = rows.join(mostly, "city", "left")
+    out = _found(rows, mostly, "city")
     return out.select(
         "source", "record_id", "form", "trade", "pieces", "cut", F.coalesce("region", "usual").alias("region"),
         F.col("site.base").alias("base"), F.col("site.suffix").alias("suffix"), F.col("site.linked").alias("linked"), F.col("site.fits").alias("fits"),
@@ -124,69 +142,147 @@ def _resolved(parsed: DataFrame) -> DataFrame:
 
 def _name_classes(rows: DataFrame) -> DataFrame:
     """(form, name_class): names and site labels that are spellings of one another."""
-    named = rows.filter(F.length("form") >= SHORTEST).select("form", "pieces", "cut", "trade")
-    labels = rows.filter(F.length("base") >= SHORTEST).select(
+    named = rows.filter(F.col("form").isNotNull()).select("form", "pieces", "cut", "trade")
+    labels = rows.filter(F.col("base").isNotNull()).select(
         F.col("base").alias("form"), F.array("base").alias("pieces"), F.lit(False).alias("cut"), F.lit(None).cast("string").alias("trade")
     )
-    forms = cut_lineage(named.unionByName(labels).distinct())
-    trades = forms.groupBy("form").agg(F.collect_set("trade").alias("trades"))
-    near = segment_join(forms, EDITS, by_trade=False)
-    both = near.join(trades.select(F.col("form").alias("a"), F.col("trades").alias("ta")), "a").join(trades.select(F.col("form").alias("b"), F.col("trades").alias("tb")), "b")
-    apart = (F.size("ta") > 0) & (F.size("tb") > 0) & ~F.arrays_overlap("ta", "tb")
-    links = both.filter(~apart).select("a", "b").unionByName(segment_join(forms, EDITS + 1, by_trade=True).select("a", "b"))
     sited = rows.filter(F.col("fits")).select(F.col("form").alias("a"), F.col("base").alias("b")).distinct()
-    alone = forms.select(F.col("form").alias("a"), F.col("form").alias("b"))
-    classes = components(links.unionByName(sited).unionByName(alone))
+    classes = components(segment_links(named.unionByName(labels).distinct()).select("a", "b").unionByName(sited))
     return classes.select(F.col("node").alias("form"), F.col("component").alias("name_class"))
 
 
-def _pull(v: Column, up: Column, down: Column) -> Column:
-    """The proximal step of the squared hinges up/2 * max(0, 1 - x)^2 + down/2 * max(0, x)^2 on [0, 1]."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (v + up / STEP) / (1 + (up + down) / STEP)))
-
-
-def solve(truths: DataFrame) -> DataFrame:
-    """truths with ``value``: the minimiser of all hinges, by alternating directions.
+def _settle(holder: np.ndarray, group: np.ndarray, held: np.ndarray, up: np.ndarray, down: np.ndarray) -> np.ndarray:
+    """The minimiser of all hinges of some whole classes.
 
-    ``truths``: name_class, owner (the record class), region, anchor, up, down. Each truth has three copies, one for its
-    own hinges, one for the agreement of its region, one for exclusivity; each round moves every copy to the minimum of
-    its part (a closed form), averages the copies of a truth and adds what they differ to their multipliers. Regions have
-    truths of their own, to which the records' agree. All of it stays within a name class, so the rounds are windows over
-    one partitioning by class: a single exchange. Rounds end when no value moves by TOLERANCE.
+    holder: the owner of each truth; group: its site and region of the class, -1 without a region; held: the region of
+    each group. Every term has copies of its own of the truths it speaks of, and multipliers for them: the hinges of a
+    truth, the agreement of a truth with its region (a copy of both), exclusivity of an owner and of a region. A round
+    moves each term's copies to the term's minimum (all closed forms), takes the truth as the mean of its copies, and adds
+    to the multipliers what they differ.
     """
+    placed = np.flatnonzero(group >= 0)
+    g, groups = group[placed], len(held)
+    owners, regions = int(holder.max(initial=-1)) + 1, int(held.max(initial=-1)) + 1
+    of_owner, of_region = np.bincount(holder, minlength=owners), np.bincount(held, minlength=regions)
+    x, z = np.full(len(holder), 0.5), np.full(groups, 0.5)
+    u1, u2, u3 = np.zeros(len(x)), np.zeros(len(placed)), np.zeros(len(x))
+    ub, uz = np.zeros(len(placed)), np.zeros(groups)
+    terms, members = np.full(len(x), 2.0), np.bincount(g, minlength=groups) + 1.0
+    terms[placed] += 1
+    most = AGREE_RULE / STEP
+    for _ in range(ROUNDS):
+        x1 = np.clip((STEP * (x - u1) + up) / (STEP + up + down), 0, 1)
+        va, vb = x[placed] - u2, z[g] - ub
+        move = np.clip((va - vb) / 2, -most, most)
+        a, b = va - move, vb + move
+        v3, vz = x - u3, z - uz
+        x3 = v3 - (np.maximum(0, np.bincount(holder, v3, owners) - 1) / of_owner)[holder]
+        z3 = vz - (np.maximum(0, np.bincount(held, vz, regions) - 1) / np.maximum(1, of_region))[held]
+        total = x1 + u1 + x3 + u3
+        total[placed] += a + u2
+        before, before_z = x, z
+        x = np.clip(total / terms, 0, 1)
+        z = np.clip((np.bincount(g, b + ub, groups) + z3 + uz) / members, 0, 1)
+        gaps = x1 - x, x3 - x, a - x[placed], b - z[g], z3 - z, x - before, z - before_z
+        u1, u3, u2, ub, uz = u1 + gaps[0], u3 + gaps[1], u2 + gaps[2], ub + gaps[3], uz + gaps[4]
+        if max(np.abs(d).max(initial=0) for d in gaps) < TOLERANCE:
+            return x
+    raise RuntimeError(f"values still move after {ROUNDS} rounds")
+
+
+def _settle_rows(rows: pa.Table) -> pa.RecordBatch:
+    number = lambda *keys: np.unique(np.stack(keys), axis=1, return_inverse=True)
+    code = lambda c: rows.column(c).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(False).astype(np.int64)
+    klass, owner, region, anchor = (code(c) for c in ("name_class", "owner", "region", "anchor"))
+    holder = number(klass, owner)[1].ravel()
+    placed = np.flatnonzero(region >= 0)
+    group = np.full(len(klass), -1)
+    kinds, group[placed] = (lambda u: (u[0], u[1].ravel()))(number(klass[placed], region[placed], anchor[placed]))
+    held = number(kinds[0], kinds[1])[1].ravel()
+    weight = lambda c: rows.column(c).to_numpy().astype(float)
+    value = _settle(holder, group, held, weight("up"), weight("down"))
+    columns = [rows.column(c).combine_chunks() for c in ("name_class", "owner", "region", "anchor")]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(value)], ["name_class", "owner", "region", "anchor", "value"])
+
+
+def _solve_whole(truths: DataFrame) -> DataFrame:
+    """Classes that fit a task: one exchange by class, all rounds inside the task, many classes at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kept.append(batch)
+            if sum(b.num_rows for b in kept) < TOGETHER:
+                continue
+            rows = pa.Table.from_batches(kept)
+            names = rows.column("name_class")
+            end = int(np.argmax(np.asarray(names.to_pylist(), object) == names[-1].as_py()))  # the last class may go on
+            if end:
+                yield _settle_rows(rows.slice(0, end))
+                kept = rows.slice(end).combine_chunks().to_batches()
+        if kept:
+            yield _settle_rows(pa.Table.from_batches(kept))
+
+    schema = "name_class string, owner string, region string, anchor string, value double"
+    return truths.repartition("name_class").sortWithinPartitions("name_class").mapInArrow(run, schema)
+
+
+def _solve_spread(truths: DataFrame) -> DataFrame:
+    """The same rounds for classes beyond a task, as windows by owner and by site and region, never by class."""
     own = truths.select("name_class", "owner", "region", "anchor", "up", "down", F.lit(1).alias("kind"))
-    regions = truths.filter(F.col("region").isNotNull()).groupBy("name_class", "region", "anchor").agg(F.lit(0.0).alias("up"), F.lit(0.0).alias("down"))
-    regions = regions.select("name_class", F.concat(F.lit("region:"), "region").alias("owner"), "region", "anchor", "up", "down", F.lit(0).alias("kind"))
-    start = {"value": F.lit(0.5), "u1": F.lit(0.0), "u2": F.lit(0.0), "u3": F.lit(0.0)}
-    state = own.unionByName(regions).withColumns(start)
-    holders = Window.partitionBy("name_class", "owner")
+    regions = truths.filter(F.col("region").isNotNull()).select("name_class", F.concat(F.lit("region:"), "region").alias("owner"), "region", "anchor").distinct()
+    regions = regions.withColumns({"up": F.lit(0.0), "down": F.lit(0.0), "kind": F.lit(0)})
+    zero = dict.fromkeys(("u1", "u2", "u3", "ub"), F.lit(0.0))
+    state = cut_lineage(own.unionByName(regions).withColumns({"value": F.lit(0.5), **zero}))
+    holders = Window.partitionBy("name_class", "kind", "owner")
     agree = Window.partitionBy("name_class", "anchor", "region")
-    is_region = F.col("kind") == 0
-    state = cut_lineage(state)
+    is_region, placed = F.col("kind") == 0, F.col("region").isNotNull()
+    col, most = F.col, F.lit(AGREE_RULE / STEP)
     for k in range(1, ROUNDS + 1):
-        if k % EACH == 1:
-            state = state.repartition("name_class")  # which every window of the next rounds is satisfied with
-        v1, v2, v3 = (F.col("value") - F.col(u) for u in ("u1", "u2", "u3"))
-        state = state.withColumns({"v2": v2, "before": F.col("value")})
-        # Agreement: w * |truth - region| for every truth of the region; the region's copy takes the mean of the moves.
-        centre = F.when(F.col("region").isNotNull(), F.max(F.when(is_region, F.col("v2"))).over(agree))
-        state = state.withColumn("gap", F.when(~is_region, F.coalesce(centre - F.col("v2"), F.lit(0.0))))
-        move = F.least(F.lit(AGREE_RULE / STEP), F.greatest(F.lit(-AGREE_RULE / STEP), F.col("gap") / 2))
-        pull = F.avg(F.when(~is_region, -move)).over(agree)
+        v3 = col("value") - col("u3")
         state = state.withColumns({
-            "x1": _pull(v1, F.col("up"), F.col("down")),
-            "x2": F.col("v2") + F.when(is_region, F.coalesce(pull, F.lit(0.0))).otherwise(move),
+            "before": col("value"),
+            "x1": F.greatest(F.lit(0.0), F.least(F.lit(1.0), (STEP * (col("value") - col("u1")) + col("up")) / (STEP + col("up") + col("down")))),
             "x3": v3 - F.greatest(F.lit(0.0), F.sum(v3).over(holders) - 1) / F.count(F.lit(1)).over(holders),
         })
-        copies = {"x1": "u1", "x2": "u2", "x3": "u3"}
-        mean = sum(F.col(x) + F.col(u) for x, u in copies.items()) / 3
-        state = state.withColumn("value", F.greatest(F.lit(0.0), F.least(F.lit(1.0), mean)))
-        state = state.withColumns({u: F.col(u) + F.col(x) - F.col("value") for x, u in copies.items()})
+        state = state.withColumn("centre", F.max(F.when(is_region, col("value"))).over(agree))
+        va, vb = col("value") - col("u2"), col("centre") - col("ub")
+        state = state.withColumn("move", F.when(placed, F.greatest(-most, F.least(most, (va - vb) / 2))))
+        state = state.withColumns({"a": va - col("move"), "b": vb + col("move")})
+        backed = F.sum(F.when(~is_region, col("b") + col("ub"))).over(agree)
+        of_region = (backed + col("x3") + col("u3")) / (F.count(F.when(~is_region, 1)).over(agree) + 1)
+        alone = col("x1") + col("u1") + col("x3") + col("u3")
+        value = F.when(is_region, of_region).when(placed, (alone + col("a") + col("u2")) / 3).otherwise(alone / 2)
+        state = state.withColumn("value", F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)))
+        state = state.withColumn("centre", F.max(F.when(is_region, col("value"))).over(agree))
+        gap = {"u1": F.when(is_region, 0.0).otherwise(col("x1") - col("value")), "u2": F.when(is_region | ~placed, 0.0).otherwise(col("a") - col("value")),
+               "u3": col("x3") - col("value"), "ub": F.when(is_region | ~placed, 0.0).otherwise(col("b") - col("centre"))}
+        worst = F.greatest(F.abs(col("value") - col("before")), *map(F.abs, gap.values()))
+        state = state.withColumns({u: col(u) + d for u, d in gap.items()} | {"worst": worst})
         if k % EACH == 0:
             state = cut_lineage(state)
-            if (state.agg(F.max(F.abs(F.col("value") - F.col("before"))).alias("d")).first().d or 0.0) < TOLERANCE:
-                break
-    return state.filter(~is_region).select("name_class", "owner", "region", "anchor", "value")
+            if (state.agg(F.max("worst").alias("d")).first().d or 0.0) < TOLERANCE:
+                return state.filter(~is_region).select("name_class", "owner", "region", "anchor", "value")
+    raise RuntimeError(f"values still move after {ROUNDS} rounds")
+
+
+def solve(truths: DataFrame) -> DataFrame:
+    """truths with ``value``: the minimiser of all hinges, by alternating directions.
+
+    ``truths``: name_class, owner (the record class), region, anchor, up, down. A truth has squared hinges up/2 * max(0,
+    1 - x)^2 and down/2 * max(0, x)^2, agrees with the truth of its region at AGREE_RULE * |x - z|, and the truths of an
+    owner, and of a region, add up to one at most. All of it stays within a name class: classes of up to WHOLE_CLASS
+    truths are solved within tasks, larger ones by windows over all of them; both take the same rounds until no value and
+    no copy is off by TOLERANCE, and fail rather than return what has not settled.
+    """
+    large = truths.groupBy("name_class").count().filter(F.col("count") > WHOLE_CLASS).select("name_class")
+    large = cut_lineage(large)  # at most the number of truths over WHOLE_CLASS
+    if large.isEmpty():
+        return _solve_whole(truths)
+    whole = _solve_whole(truths.join(large, "name_class", "left_anti"))
+    return whole.unionByName(_solve_spread(truths.join(large, "name_class", "left_semi")))
 
 
 def link_records(records: DataFrame) -> DataFrame:
@@ -204,7 +300,7 @@ def link_records(records: DataFrame) -> DataFrame:
     classes = cut_lineage(_name_classes(rows))
     by_site = classes.select(F.col("form").alias("base"), F.col("name_class").alias("site_class"))
     by_name = classes.select("form", F.col("name_class").alias("form_class"))
-    placed = rows.join(by_site, "base", "left").join(by_name, "form", "left").withColumn("name_class", F.coalesce("site_class", "base", "form_class", "form"))
+    placed = _found(_found(rows, by_site, "base"), by_name, "form").withColumn("name_class", F.coalesce("site_class", "base", "form_class", "form"))
     placed = placed.filter(F.col("name_class").isNotNull())
     anchor = F.concat_ws("-", "base", "suffix")
     placed = cut_lineage(placed.select("source", "record_id", "name_class", "region", F.when(F.col("base").isNotNull(), anchor).alias("anchor"), "suffix", "linked"))

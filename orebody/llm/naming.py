@@ -83,6 +83,17 @@ def fold(text: str) -> str:
     return "".join(c for c in text if not unicodedata.combining(c))
 
 
+def _shorter(word: str) -> set[str]:
+    """The word and what it is without one of its letters: two words one edit apart share one of these."""
+    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
+
+
+_NEAR: dict[str, list[int]] = {}
+for _place, _known in enumerate(_LONG):
+    for _form in _shorter(_known):
+        _NEAR.setdefault(_form, []).append(_place)
+
+
 @lru_cache(maxsize=100_000)
 def _common(word: str) -> str | None:
     """The trade's leading word, '' for any other common word, None for a word of the organisation's own."""
@@ -91,9 +102,9 @@ def _common(word: str) -> str | None:
     if word in LEGAL or word in TRADE_REST:
         return ""
     if len(word) >= 5:
-        for known in _LONG:
-            if abs(len(known) - len(word)) <= 1 and edits(known, word, 1) <= 1:
-                return _LEADS.get(known, "")
+        for place in sorted({p for form in _shorter(word) for p in _NEAR.get(form, ())}):
+            if edits(_LONG[place], word, 1) <= 1:
+                return _LEADS.get(_LONG[place], "")
     return None
 
 
@@ -103,8 +114,13 @@ def host_label(site: str | None) -> str | None:
     return m.group(1).split(".")[-2] if m else None
 
 
+def numbers(form: str) -> list[str]:
+    """The numbers in a form, in order of size: spellings of one name never differ in them."""
+    return sorted(re.findall(r"\d+", form))
+
+
 def parse(name: str | None) -> Name:
-    """Null, blank and wordless names have no words."""
+    """Null, blank and wordless names have no words; numbers and single letters are words as any other."""
     if not name:
         return Name((), (), None)
     if label := host_label(name):
@@ -118,18 +134,18 @@ def parse(name: str | None) -> Name:
     low = re.sub(r"\bint['’]?l\b", " intl ", low)
     low = re.sub(r"\bind['’]l\b", " industrial ", low)
     kept = re.sub(r"\s[-–—]\s.*$", "", low)
-    out: list[tuple[str, bool]] = []
     trade = None
-    for place in (kept, low):
-        for token in _TOKEN.findall(place):
+    for place in dict.fromkeys((kept, low)):
+        out = []
+        for found in _TOKEN.finditer(place):
+            token = found.group()
             word = token.rstrip(".'’")
             lead = _common(word)
             if lead is None:
-                if not word.isdigit() and len(word) > 1:
-                    out.append((word, word != token and len(word) <= 6 or len(word) <= 4))
+                if len(word) > 1 or place[found.start() - 1 : found.start()] not in ("'", "’"):  # no letter cut off by an apostrophe
+                    out.append((word, not word.isdigit() and len(word) > 1 and (word != token and len(word) <= 6 or len(word) <= 4)))
             elif lead and trade is None:
                 trade = lead
         if sum(len(w) for w, _ in out) >= 6:
             break
-        out = [] if place is kept and kept != low else out
     return Name(tuple(w for w, _ in out), tuple(c for _, c in out), trade)

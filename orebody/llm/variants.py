@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import combinations, product
+from itertools import combinations, permutations, product
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from orebody.llm.components import components
-from orebody.llm.naming import edits, host_label, parse
+from orebody.llm.naming import edits, host_label, numbers, parse
 from orebody.session import cut_lineage
 
 EDITS = 2
+MOST_EDITS = 3
 # Forms of fewer letters are one edit apart at most, and within one line of trade; below LEAST they must be equal.
 SHORTEST = 8
 LEAST = 4
@@ -24,6 +26,8 @@ LONG = 13
 # Letters that stay of a word cut short, and edits where one was cut short to meet another.
 PREFIX = 4
 CUT_EDITS = 1
+# Names of so many words of their own or fewer are met in any order of them.
+ANY_ORDER = 4
 
 _FORM = T.StructType([
     T.StructField("owner", T.StringType()), T.StructField("form", T.StringType()), T.StructField("trade", T.StringType()),
@@ -79,19 +83,24 @@ def index_keys(s: str, k: int = EDITS) -> list[str]:
     return list(out)
 
 
-def probe_keys(s: str, k: int = EDITS, longer: int = 0) -> list[str]:
-    """Keys under which any string up to k edits away, and at most ``longer`` letters longer than s, has a segment.
+def probe_keys(s: str, k: int | Callable[[int], int] = EDITS, longer: int = 0) -> list[str]:
+    """Keys under which any string up to k edits away, and at most ``longer`` letters longer than s, has a segment; k may
+    depend on that string's length.
 
     By the pigeonhole principle one of its k + 1 segments is untouched (swaps across borders undone) and stands in s,
     shifted by at most k; the window narrows with the number of segments on either side, as edits left of a segment and
     right of it add up.
     """
     out = set()
-    for length in range(max(k + 1, len(s) - k), len(s) + longer + 1):
+    most = k if isinstance(k, int) else MOST_EDITS
+    for length in range(max(1, len(s) - most), len(s) + longer + 1):
+        near = k if isinstance(k, int) else k(length)
         more = len(s) - length
-        for i, (a, n) in enumerate(segments(length, k)):
-            low = max(0, a - i, a + more - (k - i))
-            high = min(len(s) - n, a + i, a + more + (k - i))
+        if more > near or length <= near:
+            continue
+        for i, (a, n) in enumerate(segments(length, near)):
+            low = max(0, a - i, a + more - (near - i))
+            high = min(len(s) - n, a + i, a + more + (near - i))
             out.update(f"{length}:{i}:{s[p : p + n]}" for p in range(low, high + 1))
     return sorted(out)
 
@@ -105,96 +114,128 @@ def forms_of(owner: str, names: list[str | None], site: str | None) -> Iterator[
 
 
 def _forms(rows: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [f for o, a, b, s in zip(batch["owner"], batch["name"], batch["other"], batch["site"]) for f in forms_of(o, [a, b], s)]
-            yield pd.DataFrame(out, columns=_FORM.names)
+            owner, name, other, site = (batch.column(k).to_pylist() for k in range(4))
+            out = [f for o, a, b, s in zip(owner, name, other, site) for f in forms_of(o, [a, b], s)]
+            yield _rows(out, _FORM)
 
-    return rows.mapInPandas(run, _FORM).distinct()
+    return rows.select("owner", "name", "other", "site").mapInArrow(run, _FORM).distinct()
 
 
-_KEYS = T.StructType([T.StructField("form", T.StringType()), T.StructField("shown", T.StringType()), T.StructField("key", T.StringType()), T.StructField("probe", T.BooleanType())])
+def _rows(out: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    columns = list(zip(*out)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, to_arrow_schema(schema).types)], schema.names)
+
+
+_KEYS = T.StructType([
+    T.StructField("form", T.StringType()), T.StructField("shown", T.StringType()), T.StructField("k", T.IntegerType()),
+    T.StructField("probe", T.BooleanType()), T.StructField("keys", T.ArrayType(T.StringType())),
+])
 _PAIR = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("distance", T.IntegerType())])
 
 
 def shown(pieces: list[str], cut: bool) -> tuple[set[str], set[str]]:
-    """Under which spellings a form can be met: by any other, and (with one part cut short) by forms cut short themselves."""
-    whole = {"".join(pieces), "".join(pieces[::-1])}
-    if cut or len(pieces) != 2 or min(map(len, pieces)) <= PREFIX:
+    """Under which spellings a form can be met: by any other, and (with one part cut short) by forms cut short themselves.
+
+    Parts come in any order; of more than ANY_ORDER parts, in the given one, its reverse and the alphabetical one.
+    """
+    orders = set(permutations(pieces)) if len(pieces) <= ANY_ORDER else {tuple(pieces), tuple(pieces[::-1]), tuple(sorted(pieces))}
+    whole = {"".join(order) for order in orders}
+    if cut or len(pieces) < 2:
         return whole, set()
-    x, y = pieces
-    return whole, {x[:PREFIX] + y, y + x[:PREFIX], x + y[:PREFIX], y[:PREFIX] + x}
+    return whole, {"".join(w[:PREFIX] if i == j else w for j, w in enumerate(order)) for order in orders for i in range(len(order)) if len(order[i]) > PREFIX}
 
 
-def allowed(a: str, b: str, met: str, k: int) -> int:
-    """Edits that two forms may be apart: one where one was cut short to meet the other, two between shorter forms."""
-    return CUT_EDITS if len(met) < len(b) else k if min(len(a), len(b)) >= LONG else min(k, EDITS)
+def within_trade(length: int) -> int:
+    """Edits at which forms of one line of trade are linked, by the length of the shorter."""
+    return EDITS + 1 if length >= LONG else EDITS
 
 
-def segment_join(forms: DataFrame, k: int, by_trade: bool) -> DataFrame:
-    """(a, b, distance) of every two distinct forms at most k edits apart, in either order of their parts, or with one
-    part cut short where one of them is written so.
+def keys_of(form: str, trades: list[str], spellings: list[tuple[list[str], bool]]) -> Iterator[tuple[str, str, int, bool, list[str]]]:
+    """(form, shown, k, probe, keys): under which keys a form is looked up and looks others up.
 
-    ``forms``: form, pieces, cut, trade. Every form is indexed under the segments of its spellings and probed under its
-    own; forms that meet under a key become distinct pairs, pass the JVM's banded Levenshtein distance (a swap counts
-    two there, so twice as many are let through) and then the banded distance that counts a swap once. ``by_trade`` adds the line of trade to the key, so
-    only forms of one trade meet and segments may be shorter.
+    Forms that name lines of trade meet within each of them; forms that name none meet all. The mark before a key says
+    which: a trade, - for forms without one, + for forms with some, looked up by those without.
+    """
+    if len(form) >= SHORTEST:
+        looks = [(f"{t}|", within_trade) for t in trades] + [("-|", EDITS)] + ([] if trades else [("+|", EDITS)])
+        found = [(f"{t}|", within_trade) for t in trades] + [("+|" if trades else "-|", EDITS)]
+        whole, short = set(), set()
+        for pieces, cut in spellings:
+            some, less = shown(list(pieces), cut)
+            whole |= some
+            short |= less
+        if any(cut for _, cut in spellings):
+            looks += [(f"cut:{mark}", None) for mark, _ in looks]
+        for mark, k in looks:
+            keys = probe_keys(form, CUT_EDITS, CUT_EDITS) if k is None else probe_keys(form, k)
+            yield form, form, 0, True, [mark + x for x in keys]
+        for mark, k in found:
+            for s in whole:
+                most = k if isinstance(k, int) else k(len(s))
+                yield form, s, most, False, [mark + x for x in index_keys(s, most)]
+            for s in short - whole:
+                yield form, s, CUT_EDITS, False, [f"cut:{mark}{x}" for x in index_keys(s, CUT_EDITS)]
+    if LEAST <= len(form) <= SHORTEST:  # the shortest of the others stand one edit away
+        for t in trades:
+            yield form, form, 0, True, [f"short:{t}|{x}" for x in probe_keys(form, 1)]
+            for s in {s for pieces, _ in spellings for s in shown(list(pieces), True)[0]}:
+                yield form, s, 1, False, [f"short:{t}|{x}" for x in index_keys(s, 1)]
+
+
+def segment_links(forms: DataFrame) -> DataFrame:
+    """(a, b, distance) of every two distinct forms that are spellings of one name.
+
+    ``forms``: form, pieces, cut, trade. Two forms are linked at EDITS edits if they name a line of trade in common or one
+    of them names none; from LONG letters on at one more within one trade; forms of fewer than SHORTEST letters at one
+    edit, from LEAST letters on and within one trade. Parts may stand in another order, or one of them cut short (at
+    CUT_EDITS) where the other form is written so. Numbers in them must be the same.
+
+    Every form is indexed under the segments of its spellings and looked up under its own, all in one table of keys; forms
+    that meet become distinct pairs, pass the JVM's banded Levenshtein distance (a swap counts two there, so twice as many
+    are let through) and then the banded distance that counts a swap once. A key that many forms share is split by AQE.
     """
 
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for form, pieces, cut, trade in zip(batch["form"], batch["pieces"], batch["cut"], batch["trade"]):
-                whole, short = shown(list(pieces), cut)
-                mark = f"{trade}:" if by_trade else ""
-                out += [(form, form, mark + x, True) for x in probe_keys(form, k)]
-                if cut:
-                    out += [(form, form, f"cut:{mark}{x}", True) for x in probe_keys(form, CUT_EDITS, CUT_EDITS)]
-                out += [(form, s, mark + x, False) for s in whole for x in index_keys(s, k)]
-                out += [(form, s, f"cut:{mark}{x}", False) for s in short for x in index_keys(s, CUT_EDITS)]
-            yield pd.DataFrame(out, columns=_KEYS.names)
-
-    some = forms.filter(F.col("trade").isNotNull()) if by_trade else forms.withColumn("trade", F.lit(""))
-    keys = some.select("form", "pieces", "cut", "trade").distinct().mapInPandas(keyed, _KEYS)
+            form, trades, spellings = (batch.column(k).to_pylist() for k in range(3))
+            for at in range(0, len(form), 500):
+                ways = [[(x["pieces"], x["cut"]) for x in some] for some in spellings[at : at + 500]]
+                yield _rows([row for f, t, w in zip(form[at : at + 500], trades[at : at + 500], ways) for row in keys_of(f, t, w)], _KEYS)
+
+    grouped = forms.groupBy("form").agg(F.collect_set("trade").alias("trades"), F.collect_set(F.struct("pieces", "cut")).alias("spellings"))
+    keys = grouped.filter(F.length("form") >= LEAST).mapInArrow(keyed, _KEYS).select("form", "shown", "k", "probe", F.explode("keys").alias("key"))
     keys = cut_lineage(keys.withColumn("key", F.xxhash64("key")))  # two keys of one hash only make a pair more to verify
     probe = keys.filter("probe").select(F.col("form").alias("a"), "key")
-    index = keys.filter("NOT probe").select(F.col("form").alias("b"), "shown", "key")
-    close = F.levenshtein("a", "shown", 2 * k) >= 0
-    near = probe.join(index, "key").filter((F.col("a") != F.col("b")) & close).select("a", "b", "shown").distinct()
+    index = keys.filter("NOT probe").select(F.col("form").alias("b"), "shown", "k", "key")
+    far = F.levenshtein("a", "shown", 2 * MOST_EDITS)
+    near = probe.join(index, "key").filter((F.col("a") != F.col("b")) & (far >= 0) & (far <= 2 * F.col("k"))).select("a", "b", "shown", "k").distinct()
 
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(min(a, b), max(a, b), d) for a, b, s in zip(batch["a"], batch["b"], batch["shown"]) if (d := edits(a, s, k)) <= allowed(a, b, s, k)]
-            yield pd.DataFrame(out, columns=_PAIR.names).astype({"distance": "int32"})
+            rows = zip(*(batch.column(k).to_pylist() for k in range(4)))
+            yield _rows([(min(a, b), max(a, b), d) for a, b, s, k in rows if (d := edits(a, s, k)) <= k and numbers(a) == numbers(s)], _PAIR)
 
-    return near.mapInPandas(verify, _PAIR).groupBy("a", "b").agg(F.min("distance").alias("distance"))
+    return near.mapInArrow(verify, _PAIR).groupBy("a", "b").agg(F.min("distance").alias("distance"))
 
 
 def variant_classes(df: DataFrame, owner: str, name: str, other: str, site: str) -> DataFrame:
-    """(owner, class): owners whose names are spellings of one name share a class; owners alone in theirs are left out.
-
-    Names are folded and taken apart; what is their own is joined into one form, in either order. Distinct forms are
-    linked at EDITS edits unless both name lines of trade and none in common, and at one more edit within one line of
-    trade. Owners hang on their forms, so a name that millions of rows share is one form and one star of links, never
-    pairs. Forms of fewer than SHORTEST letters are linked if equal, and from LEAST letters on at one edit within one
-    line of trade. Classes are the connected components. Null owners and names with no word of their own link nothing;
-    repeated rows count once.
+    """(owner, class): owners whose names are spellings of one name share a class, named by a form of theirs.
+
+    Names are folded and taken apart; what is their own is joined into one form. Distinct forms are linked as
+    ``segment_links`` says, and the forms of one owner with each other, by way of the first of them: a name that millions
+    of rows share is one form, never pairs. Equal forms are one, however short. Classes are the connected components.
+    Null owners and names with no word of their own do not come out; repeated rows count once.
     """
     col = lambda c: F.col(f"`{c}`").cast("string")
     rows = df.select(col(owner).alias("owner"), col(name).alias("name"), col(other).alias("other"), col(site).alias("site")).filter(F.col("owner").isNotNull()).distinct()
     every = cut_lineage(_forms(rows))
-    forms = every.filter(F.length("form") >= SHORTEST)
-    brief = every.filter(F.length("form").between(LEAST, SHORTEST))  # the shortest of the others stand one edit away
-    trades = forms.groupBy("form").agg(F.collect_set("trade").alias("trades"))  # at most as many as there are lines of trade
-    near = segment_join(forms, EDITS, by_trade=False)
-    both = near.join(trades.select(F.col("form").alias("a"), F.col("trades").alias("ta")), "a").join(trades.select(F.col("form").alias("b"), F.col("trades").alias("tb")), "b")
-    apart = (F.size("ta") > 0) & (F.size("tb") > 0) & ~F.arrays_overlap("ta", "tb")
-    linked = both.filter(~apart).select("a", "b").unionByName(segment_join(forms, EDITS + 1, by_trade=True).select("a", "b"))
-    linked = linked.unionByName(segment_join(brief, 1, by_trade=True).select("a", "b"))
-    nodes = linked.select(F.concat(F.lit("f:"), "a").alias("a"), F.concat(F.lit("f:"), "b").alias("b"))
-    stars = every.select(F.concat(F.lit("o:"), "owner").alias("a"), F.concat(F.lit("f:"), "form").alias("b"))
-    classes = components(nodes.unionByName(stars))
-    return classes.filter(F.col("node").startswith("o:")).select(F.expr("substring(node, 3)").alias("owner"), F.col("component").alias("class"))
+    home = every.groupBy("owner").agg(F.min("form").alias("home"))
+    same = every.join(home, "owner").filter(F.col("form") != F.col("home")).select(F.col("form").alias("a"), F.col("home").alias("b"))
+    classes = components(segment_links(every).select("a", "b").unionByName(same))
+    named = home.join(classes.withColumnRenamed("node", "home"), "home", "left")
+    return named.select("owner", F.coalesce("component", "home").alias("class"))
 
 
 def class_pairs(classes: DataFrame) -> DataFrame:

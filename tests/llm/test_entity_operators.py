@@ -1,6 +1,7 @@
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,14 +58,41 @@ def test_segments_meet_across_swaps():
             assert not set(variants.probe_keys(short, 1, 1)).isdisjoint(variants.index_keys(long, 1))
 
 
-def test_segment_join_of_swaps_and_cut_forms(spark):
+def test_segment_links_of_swaps_and_cut_forms(spark):
     forms = [("bokilickfavopack", ["bokilick", "favopack"], False), ("bokiilckfavopick", ["bokiilck", "favopick"], False), ("bokifavopak", ["boki", "favopak"], True),
              ("ecadgfhibjklm", ["ecadgfhibjklm"], False), ("ceadfghbijklm", ["ceadfghbijklm"], False)]
-    df = spark.createDataFrame([(*f, "valve") for f in forms], "form string, pieces array<string>, cut boolean, trade string")
-    two = {(r.a, r.b, r.distance) for r in variants.segment_join(df, 2, by_trade=False).collect()}
-    assert two == {("bokiilckfavopick", "bokilickfavopack", 2), ("bokifavopak", "bokilickfavopack", 1)}
-    three = {(r.a, r.b, r.distance) for r in variants.segment_join(df, 3, by_trade=True).collect()}
-    assert three == two | {("ceadfghbijklm", "ecadgfhibjklm", 3)}
+    schema = "form string, pieces array<string>, cut boolean, trade string"
+    links = lambda *trades: {(r.a, r.b, r.distance) for r in variants.segment_links(spark.createDataFrame([(*f, t) for f in forms for t in trades], schema)).collect()}
+    two = {("bokiilckfavopick", "bokilickfavopack", 2), ("bokifavopak", "bokilickfavopack", 1)}
+    assert links(None) == two
+    assert links("valve") == links("valve", "pump") == two | {("ceadfghbijklm", "ecadgfhibjklm", 3)}
+    mixed = spark.createDataFrame([(*f, t) for f, t in zip(forms, ["valve", "pump", None, None, "pump"])], schema)
+    assert {(r.a, r.b) for r in variants.segment_links(mixed).collect()} == {("bokifavopak", "bokilickfavopack")}
+    assert variants.segment_links(mixed.limit(0)).isEmpty()
+
+
+def test_links_against_brute_force(spark):
+    rng = random.Random(11)
+    forms = {}
+    for _ in range(60):
+        first = [rng.choice("abcdefgh") for _ in range(rng.randint(5, 16))]
+        for _ in range(4):
+            t = list(first)
+            for _ in range(rng.randint(0, 3)):
+                q = rng.randrange(len(t) - 1)
+                t[q : q + 2] = rng.choice([t[q : q + 2][::-1], ["x", t[q + 1]], [t[q + 1]], ["x", *t[q : q + 2]]])
+            forms.setdefault("".join(t), rng.choice(["valve", "pump", None]))
+    df = spark.createDataFrame([(f, [f], False, t) for f, t in forms.items()], "form string, pieces array<string>, cut boolean, trade string")
+    want = set()
+    for a, b in combinations(sorted(forms), 2):
+        n, s, t = min(len(a), len(b)), forms[a], forms[b]
+        both = s is not None and s == t
+        most = (3 if n >= 13 else 2) if both else 2 if s is None or t is None else 0
+        if n < 8:
+            most = 1 if both and n >= 4 and max(len(a), len(b)) <= 8 else 0
+        if most and naming.edits(a, b, most) <= most:
+            want.add((a, b))
+    assert {(r.a, r.b) for r in variants.segment_links(df).collect()} == want and len(want) > 60
 
 
 @pytest.mark.parametrize("name, words, trade", [
@@ -101,6 +129,18 @@ def test_short_and_long_names(spark):
     assert len(naming.parse(names["h"]).words) == 5
 
 
+def test_order_numbers_and_single_letters(spark):
+    names = {
+        "a": "Bokilick Favopack Nuzekan Valve", "b": "Favopack Bokilick Nuzekan Valve Co", "c": "Nuzekan Bokilick Favopak Valves", "d": "Nuze. Favopack Bokilick Valve",
+        "e": "Tozonirgan 66 Pump", "f": "Tozonirgan 99 Pump", "g": "TOZONIRGAN 66 PUMPS", "h": "Route 66 Steel", "i": "Route 99 Steel", "j": "Route 66 Stl.",
+        "k": "B & K Valve", "l": "B and K Valves", "m": "K Valve",
+    }
+    df = spark.createDataFrame([(o, n, None, None) for o, n in names.items()], "owner string, name string, other string, site string")
+    pairs = {(r.a, r.b) for r in variants.class_pairs(variants.variant_classes(df, "owner", "name", "other", "site")).collect()}
+    assert pairs == {*combinations("abcd", 2), ("e", "g"), ("h", "j"), ("k", "l")}
+    assert naming.parse("Joe's Valve").words == ("joe",)
+
+
 def test_components(spark):
     links = spark.createDataFrame([(f"n{k:02}", f"n{k + 1:02}") for k in range(40)] + [("x", "y"), ("y", "x"), ("z", "z"), (None, "q")], "a string, b string")
     found = {r.node: r.component for r in components(links).collect()}
@@ -131,6 +171,76 @@ def test_linkage(spark):
     assert linkage.link_records(df.limit(0)).count() == 0
 
 
+TRUTH = "name_class string, owner string, region string, anchor string, up double, down double"
+
+
+@pytest.mark.parametrize("weights, values", [
+    ([(4, 0.3), (1, 0.3), (0.2, 2)], [0.715, 0.715, 0.545]), ([(9, 0.3), (0, 1.5), (0, 1.5), (0, 1.5)], [0.860, 0.222, 0.222, 0.222]),
+])
+def test_solver_on_one_region(spark, weights, values):
+    truths = spark.createDataFrame([("c", f"o{k}", "r", "s", float(u), float(d)) for k, (u, d) in enumerate(weights)], TRUTH)
+    found = [r.value for r in linkage.solve(truths).orderBy("owner").collect()]
+    assert found == pytest.approx(values, abs=3e-3)
+
+
+def hinges(rows, x):
+    """The least sum of all hinges for given truths: the regions' own truths stand where they cost least."""
+    cost = sum(u / 2 * max(0, 1 - v) ** 2 + d / 2 * max(0, v) ** 2 for (*_, u, d), v in zip(rows, x))
+    groups = {}
+    for (c, _, r, s, *_), v in zip(rows, x):
+        if r is not None:
+            groups.setdefault((c, r), {}).setdefault(s, []).append(v)
+    for sites in groups.values():
+        if len(sites) == 1:
+            cost += min(sum(abs(v - z) for v in vs) for vs in sites.values() for z in vs)
+        else:
+            grid = [k / 200 for k in range(201)]
+            (a, b) = sites.values()
+            cost += min(sum(abs(v - z) for v in a) + sum(abs(v - y) for v in b) for z in grid for y in [min([q for q in grid if q <= 1 - z + 1e-9], key=lambda q: sum(abs(v - q) for v in b))])
+    return cost
+
+
+def test_solver_is_at_the_minimum(spark):
+    rng = random.Random(8)
+    rows = []
+    for c in range(6):
+        for o in range(3):
+            region = rng.choice(["r", "q", None])
+            for s in ("s", "t")[: rng.randint(1, 2)]:
+                rows.append((f"c{c}", f"o{o}", region, s, rng.choice([0.0, 1.0, 4.0]), rng.choice([0.3, 1.5])))
+    solved = {tuple(r[:4]): r.value for r in linkage.solve(spark.createDataFrame(rows, TRUTH)).collect()}
+    assert len(solved) == len(rows)
+    for c in range(6):
+        mine = [r for r in rows if r[0] == f"c{c}"]
+        x = [solved[r[:4]] for r in mine]
+        least = hinges(mine, x)
+        for o in {r[1] for r in mine}:
+            assert sum(v for r, v in zip(mine, x) if r[1] == o) <= 1 + 5e-3
+        for _ in range(300):
+            y = [min(1, max(0, v + rng.gauss(0, rng.choice([0.02, 0.2])))) for v in x]
+            if all(sum(v for r, v in zip(mine, y) if r[1] == o) <= 1 for o in {r[1] for r in mine}):
+                assert hinges(mine, y) >= least - 0.02
+
+
+def test_large_classes_are_solved_alike(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(f"c{c}", f"o{o}", rng.choice(["r", None]), s, rng.choice([0.0, 1.0, 4.0]), 0.3) for c in range(3) for o in range(3) for s in "st"]
+    rows = [(c, o, {"o0": "r", "o1": "r", "o2": None}[o], s, u, d) for c, o, _, s, u, d in rows]
+    truths = spark.createDataFrame(rows, TRUTH)
+    whole = {tuple(r[:4]): r.value for r in linkage.solve(truths).collect()}
+    monkeypatch.setattr(linkage, "WHOLE_CLASS", 2)
+    spread = {tuple(r[:4]): r.value for r in linkage.solve(truths).collect()}
+    assert whole.keys() == spread.keys() and all(abs(whole[k] - spread[k]) < 3e-3 for k in whole)
+    monkeypatch.setattr(linkage, "WHOLE_CLASS", 100)
+    monkeypatch.setattr(linkage, "TOGETHER", 3)
+    parts = {tuple(r[:4]): r.value for r in linkage.solve(truths).collect()}
+    assert all(abs(whole[k] - parts[k]) < 2e-3 for k in whole)
+    monkeypatch.setattr(linkage, "ROUNDS", 1)
+    one = np.zeros(1, np.int64)
+    with pytest.raises(RuntimeError, match="still move"):
+        linkage._settle(one, one, one, np.full(1, 4.0), np.ones(1))
+
+
 def test_survive(spark):
     schema = "company_id string, snapshot_id bigint, domain string, places array<string>, updated_at string, field_name string"
     rows = [
