@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pyarrow as pa
@@ -75,3 +76,9 @@ def clauses(value: Column) -> Column:
     """The non-blank clauses of a text, split at sentence signs, line breaks and coordinating words; null for null."""
     parts = F.split(value, r"(?i)(?:[.!?;:\n]+|\b(?:and|but|however|whereas|while|yet)\b)")
     return F.filter(F.transform(parts, collapse), lambda x: x.isNotNull())
+
+
+def phrase_count(value: Column, phrase: str) -> Column:
+    """How often a phrase stands in a text as whole words, in any case, its spaces of any length; null for null."""
+    words = r"\s+".join(re.escape(w) for w in phrase.split())
+    return F.regexp_count(value, F.lit(rf"(?iU)(?<!\w){words}(?!\w)"))

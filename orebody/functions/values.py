@@ -1,7 +1,10 @@
-"""Identifiers, instants and sums with the reference's null rules."""
+"""Identifiers, instants, sums and JSON, with defined results for nulls."""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +21,23 @@ def canonical_json(*columns: Column | str) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
+def canonical_text(text: Column, without: Sequence[str] = ()) -> Column:
+    """JSON text in its canonical form: keys sorted at every level, no spaces, characters as they are, and without the
+    keys named, wherever they stand. Null for null; an error for what is no JSON or holds a number that is none."""
+    dropped = frozenset(without)
+
+    def refuse(name: str) -> float:
+        raise ValueError(f"{name} is no JSON number")
+
+    @F.arrow_udf(T.StringType())
+    def run(values: pa.Array) -> pa.Array:
+        keep = lambda pairs: {k: x for k, x in pairs if k not in dropped}
+        form = lambda x: json.dumps(json.loads(x, object_pairs_hook=keep, parse_constant=refuse), sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+        return pa.array([None if x is None else form(x) for x in values.to_pylist()], pa.string())
+
+    return run(text)
+
+
 def instant(text: Column) -> Column:
     """ISO-8601 text with an offset as an instant; null without one or when malformed."""
     return F.when(text.rlike(r"(Z|[+-]\d\d:?\d\d)\s*$"), text.try_cast("timestamp"))
@@ -36,3 +56,9 @@ def round_exact(value: Column, digits: int) -> Column:
         return pa.array([None if v is None else round(v, digits) for v in values.to_pylist()], pa.float64())
 
     return run(value)
+
+
+def text_at(value: Column, path: str) -> Column:
+    """The string at a path of a VARIANT; null where there is none, another type, or nothing in it."""
+    there = F.try_variant_get(value, path, "variant")
+    return F.when(F.schema_of_variant(there) == "STRING", F.nullif(F.try_variant_get(value, path, "string"), F.lit("")))

@@ -35,11 +35,12 @@ def bundle(items: DataFrame, own_domain: Column, order: list[Column], most: int
 def research_order(companies: DataFrame, limit: int | None = None) -> DataFrame:
     """Companies with a domain first, then known home countries, many sources, many records; by id at last.
 
-    ``companies``: company_id, domain, country, n_sources, n_records. Those abroad are left out. With a limit the plan
-    keeps only that many rows per task.
+    ``companies``: company_id, domain, country, review_reasons, n_sources, n_records. Those abroad are left out, and those
+    seen abroad too (OUTSIDE_GEOGRAPHY), whose country is unknown. With a limit the plan keeps only that many rows a task.
     """
     home = F.col("country").isin("US", "CA")
-    kept = companies.filter(F.col("country").isNull() | home)
+    seen_abroad = F.coalesce(F.array_contains("review_reasons", "OUTSIDE_GEOGRAPHY"), F.lit(False))
+    kept = companies.filter((F.col("country").isNull() | home) & ~seen_abroad)
     ranked = kept.orderBy(F.col("domain").isNull(), ~F.coalesce(home, F.lit(False)), F.desc("n_sources"), F.desc("n_records"), "company_id")
     return ranked if limit is None else ranked.limit(limit)
 

@@ -51,3 +51,29 @@ def exactly_once(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
     b = found.groupBy(key).agg(F.count("*").alias("n_found"))
     both = a.join(b, key, "full_outer").na.fill(0, ["n_expected", "n_found"])
     return both.filter((F.col("n_found") != 1) | (F.col("n_expected") == 0))
+
+
+def usage_problem(counts: Sequence[str] = ("request_count", "input_tokens", "output_tokens"), costs: Sequence[str] = ("estimated_cost_usd", "exact_cost_usd")) -> Column:
+    """The first thing wrong with a usage event, null for none: blank provider or operation, a count that is missing or
+    negative, a cost that is negative or no number, metadata that is no JSON object, no time of recording."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) == ""
+    checks = [(c, blank(c)) for c in ("provider", "operation")]
+    checks += [(c, F.coalesce(F.col(c) < 0, F.lit(True))) for c in counts]
+    endless = [float("inf"), float("nan")]
+    checks += [(c, F.coalesce((F.col(c) < 0) | F.col(c).cast("double").isin(*endless), F.lit(False))) for c in costs]
+    checks += [("metadata", ~F.coalesce(F.schema_of_variant(F.try_parse_json("metadata")).startswith("OBJECT"), F.lit(False))), ("recorded_at", blank("recorded_at"))]
+    return F.coalesce(*[F.when(wrong, name) for name, wrong in checks])
+
+
+def checked(events: DataFrame, problem: Column | None = None) -> DataFrame:
+    """events, or an error when one that has a problem is read."""
+    wrong = usage_problem() if problem is None else problem
+    return events.withColumn("provider", F.when(wrong.isNull(), F.col("provider")).otherwise(F.raise_error(F.concat(F.lit("bad usage event: "), wrong)).cast("string")))
+
+
+def combined(*ledgers: DataFrame) -> DataFrame:
+    """All events of several ledgers, repeated ones as often as they stand in any."""
+    out = ledgers[0]
+    for more in ledgers[1:]:
+        out = out.unionByName(more)
+    return out

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orebody.functions import geo, text, url, values
-from orebody.operators import calibration, contacts, evidence, identity, ledger, support
+from orebody.operators import calibration, contacts, evidence, identity, ledger, support, vocabulary
 from orebody.operators.topn import latest_by, numbered
 from orebody.session import table
 
@@ -160,8 +160,9 @@ def evidence_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{_RESOLVED},
-f AS (SELECT company_id, any_value(domain) AS domain, CASE WHEN min(k) = max(k) THEN min(k) END AS country, count(DISTINCT provider) AS n_sources, count(*) AS n_records FROM x GROUP BY 1)
-SELECT company_id, n_sources, n_records FROM f WHERE country IS NULL OR country IN ('US', 'CA')
+f AS (SELECT company_id, any_value(domain) AS domain, CASE WHEN min(k) = max(k) THEN min(k) END AS country, count(DISTINCT provider) AS n_sources, count(*) AS n_records,
+    coalesce(bool_or(k NOT IN ('US', 'CA')), false) AS abroad FROM x GROUP BY 1)
+SELECT company_id, n_sources, n_records FROM f WHERE NOT abroad AND (country IS NULL OR country IN ('US', 'CA'))
 ORDER BY domain IS NULL, coalesce(country IN ('US', 'CA'), false) DESC, n_sources DESC, n_records DESC, company_id LIMIT 200""")
 def research_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     companies = identity.resolve(_records(spark, sf_dir)).companies.withColumn("n_sources", F.size("discovery_sources").cast("long"))
@@ -388,17 +389,17 @@ def _bounded(pattern: str) -> str:
     return re.sub(r"\\b(?=[\w(])", lambda _: start, pattern).replace(r"\b", end).replace("'", "''")
 
 
-def _speaks(groups: tuple[str, ...]) -> str:
-    return " AND ".join(f"regexp_matches(c, '{_bounded(p)}')" for p in groups)
+def _speaks(groups: tuple[tuple[str, ...], ...]) -> str:
+    return " AND ".join(f"regexp_matches(c, '{_bounded('|'.join(patterns))}')" for patterns in groups)
 
 
-_FACT_LIST = ", ".join(f"CASE WHEN {_speaks(groups)} THEN '{fact}' END" for fact, groups in support.FACTS.items())
+_FACT_LIST = ", ".join(f"CASE WHEN {_speaks(groups)} THEN '{fact}' END" for fact, groups in vocabulary.PREDICATES.items())
 
 
 @query(f"""
 WITH e AS (SELECT DISTINCT company_id, evidence_id, excerpt FROM evidence_items WHERE company_id IS NOT NULL AND deleted_at IS NULL),
 s AS (SELECT company_id, unnest(regexp_split_to_array(lower(excerpt), '(?i)(?:[.!?;:\\n]+|\\b(?:and|but|however|whereas|while|yet)\\b)')) AS c FROM e),
-f AS (SELECT company_id, regexp_matches(c, '{_bounded(support.DENIAL)}') AS d, unnest([{_FACT_LIST}]) AS fact FROM s)
+f AS (SELECT company_id, regexp_matches(c, '{_bounded(vocabulary.DENIAL)}') AS d, unnest([{_FACT_LIST}]) AS fact FROM s)
 SELECT company_id, fact, count(*) FILTER (NOT d) AS stated, count(*) FILTER (d) AS denied FROM f WHERE fact IS NOT NULL GROUP BY 1, 2""")
 def term_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "evidence_items").filter(F.col("deleted_at").isNull()).select("company_id", "evidence_id", "excerpt").distinct()

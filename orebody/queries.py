@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebody.operators.orphans import Cascade, ForeignKey, Keyed, orphan_cascade
-from orebody.plans import domain
+from orebody.plans import evaluation
 from orebody.session import table
 
 EVIDENCE_KEY = ForeignKey("decision_reasons", "evidence_ids", "evidence_items", "evidence_id", since="loaded_at", until="deleted_at", clean=True)
@@ -47,9 +47,9 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_cascade(spark, sf_dir).report()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_report)} | domain.QUERIES
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_report)} | evaluation.QUERIES
 
-ORACLE: dict[str, str] = domain.ORACLE | {
+ORACLE: dict[str, str] = evaluation.ORACLE | {
     "p1_found": """
 WITH e AS (
   SELECT DISTINCT reason_id, decided_at, lower(regexp_replace(x, '^\\s+|\\s+$', '', 'g')) AS evidence_id

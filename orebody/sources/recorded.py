@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from orebody.functions.text import normalize_company_name, normalize_person_name
 from orebody.functions.url import page_url, profile_url
-from orebody.functions.values import digest_id
+from orebody.functions.values import digest_id, text_at
 from orebody.operators.contacts import relevance, title_rank, title_reason
 from orebody.operators.identity import RECORD
 from orebody.operators.topn import first_n
@@ -19,12 +19,6 @@ from orebody.operators.topn import first_n
 SNIPPET = 2000
 
 
-def text_at(value: Column, path: str) -> Column:
-    """The string at a path of a VARIANT; null where there is none, another type, or nothing in it."""
-    there = F.try_variant_get(value, path, "variant")
-    return F.when(F.schema_of_variant(there) == "STRING", F.nullif(F.try_variant_get(value, path, "string"), F.lit("")))
-
-
 def _list_at(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "array<variant>")
 
