@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from orebody.operators.propositions import canonical, supported
 from orebody.operators.vocabulary import FACT_KEYS
+from orebody.session import cut_lineage
 
 FACT_FIELDS = ("confidence", "evidence_ids", "value")
 
@@ -22,7 +23,8 @@ def kind(value: Column) -> Column:
 
 
 def _fields(value: Column) -> Column:
-    return F.when(kind(value) == "OBJECT", F.try_variant_get(value, "$", "map<string,variant>"))
+    """The entries of a VARIANT that is an object, else null."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
 
 
 def exact_keys(value: Column, expected: Sequence[str]) -> Column:
@@ -41,7 +43,7 @@ def valid_confidence(value: Column) -> Column:
 
 def _texts(value: Column) -> Column:
     """The entries of a VARIANT that is a list of strings only, else null."""
-    entries = F.when(kind(value) == "ARRAY", F.try_variant_get(value, "$", "array<variant>"))
+    entries = F.try_variant_get(value, "$", "array<variant>")
     return F.when(F.forall(entries, lambda x: F.coalesce(kind(x) == "STRING", F.lit(False))), F.transform(entries, lambda x: F.variant_get(x, "$", "string")))
 
 
@@ -86,7 +88,9 @@ def unretained(facts: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def accepted(facts: DataFrame, items: DataFrame) -> DataFrame:
-    """The facts of those companies whose answers have no problem and cite nothing that is not there."""
+    """The facts of those companies whose answers have no problem and cite nothing that is not there. Answers are read
+    once, and kept."""
+    facts = cut_lineage(facts)
     wrong = facts.filter(F.col("problem").isNotNull()).select("company_id").unionByName(unretained(facts, items).select("company_id")).distinct()
     return facts.join(wrong, "company_id", "left_anti").drop("problem")
 
