@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orebody.functions.url import page_url, registrable_domain
+from orebody.operators.topn import first_n
 
 _QUERIES = ("{} products services markets", "{} branches locations employees", "{} quotation estimating tender projects")
 
@@ -14,22 +15,24 @@ def bundle(items: DataFrame, own_domain: Column, order: list[Column], most: int
     """Per company the first pages that fit: each page once, at most ``own`` of the company's own domain and ``others`` of
     any other, ``most`` items and ``chars_all`` characters of excerpt in all, the last excerpt cut to what is left.
 
-    ``items``: company_id, evidence_id, url, title, excerpt and whatever ``own_domain`` and ``order`` read. Three windows
-    over the same partitioning: one exchange. Items without a proper address drop out; null excerpts take no room; ties
-    beyond ``order`` are decided by evidence_id. Adds position and excerpt_used.
+    ``items``: company_id, evidence_id, url, title, excerpt and whatever ``own_domain`` and ``order`` read. Three picks,
+    by page, by host and by company, each cut to its limit before its exchange: a company with most of the items is
+    spread over its pages and hosts, and sends only ``most`` items a task to where the room is counted. Items without a
+    proper address drop out; null excerpts take no room; ties beyond ``order`` are decided by evidence_id. Adds position
+    and excerpt_used.
     """
     total = [*order, F.col("evidence_id")]
     rows = items.withColumns({"_page": page_url(F.col("url")), "_site": registrable_domain(F.col("url")), "_own": own_domain})
     rows = rows.filter(F.col("_page").isNotNull()).withColumn("_host", F.coalesce("_site", F.regexp_extract("_page", r"^[a-z]+://([^/:?]+)", 1)))
-    within = lambda *keys: Window.partitionBy("company_id", *keys).orderBy(*total)
-    rows = rows.withColumn("_seen", F.row_number().over(within("_page"))).filter(F.col("_seen") == 1)
+    rows = first_n(rows, ["company_id", "_page"], total, 1)
     limit = F.when(F.col("_site") == F.col("_own"), own).otherwise(others)
-    rows = rows.withColumn("_nth", F.row_number().over(within("_host"))).filter(F.col("_nth") <= limit)
+    rows = first_n(rows, ["company_id", "_host"], total, max(own, others), rank_as="_nth").filter(F.col("_nth") <= limit)
+    rows = first_n(rows, ["company_id"], total, most, rank_as="position")
     size = F.coalesce(F.least(F.length("excerpt"), F.lit(chars_each)), F.lit(0))
-    before = F.coalesce(F.sum(size).over(within().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.withColumns({"position": F.row_number().over(within()), "_before": before}).filter((F.col("position") <= most) & (F.col("_before") < chars_all))
+    earlier = Window.partitionBy("company_id").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_before", F.coalesce(F.sum(size).over(earlier), F.lit(0))).filter(F.col("_before") < chars_all)
     used = F.expr(f"substring(excerpt, 1, cast(least({chars_each}, {chars_all} - _before) as int))")
-    return rows.withColumn("excerpt_used", used).drop("_page", "_site", "_own", "_host", "_seen", "_nth", "_before")
+    return rows.withColumn("excerpt_used", used).drop("_page", "_site", "_own", "_host", "_nth", "_before")
 
 
 def research_order(companies: DataFrame, limit: int | None = None) -> DataFrame:

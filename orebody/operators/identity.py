@@ -11,6 +11,7 @@ from orebody.functions.geo import country_code, location, region_code
 from orebody.functions.text import normalize_company_name, normalize_text
 from orebody.functions.url import company_domain
 from orebody.functions.values import digest_id, instant
+from orebody.session import cut_lineage
 
 RECORD = (
     "record_id", "provider", "request_id", "target_country_code", "query", "provider_result_id", "name", "source_url", "website_url", "city",
@@ -30,8 +31,7 @@ class Identities:
 
 
 def prepare(records: DataFrame) -> DataFrame:
-    """Identity columns beside the record: name, city, region, country, domain, the fallback key, the instant, and a key
-    that orders records totally."""
+    """Identity columns beside the record: name, city, region, country, domain, the fallback key, the place, the instant."""
     named = records.select(*[F.col(c).cast("string").alias(c) for c in RECORD]).withColumns({
         "_name": normalize_company_name(F.col("name")),
         "_city": normalize_text(F.col("city")),
@@ -43,7 +43,6 @@ def prepare(records: DataFrame) -> DataFrame:
     })
     return named.withColumns({
         "_fallback": F.concat("_name", F.lit("|"), "_city", F.lit("|"), "_region", F.lit("|"), "_country"),
-        "_key": F.to_json(F.struct(*sorted(RECORD)), {"ignoreNullFields": "false"}),
         "_place": location(F.col("_city"), F.col("_region"), F.col("_postal"), F.col("_country")),
     })
 
@@ -60,52 +59,50 @@ def resolve(records: DataFrame) -> Identities:
     groups with its like. One that lacks any of them stays alone (INSUFFICIENT_IDENTITY); without a name it is
     unresolved. The index of fallback keys is built from records with a domain only, so no chain of attachments arises.
 
-    Everything about a company is an aggregate that is combined before the shuffle: sets of distinct sources, queries,
-    places and countries, the first and last instant, counts; the records themselves stay rows (members), so a company
-    that holds a third of them is never gathered. Multiplicity is kept: repeated records are members as often as given.
+    Normal forms are computed once and kept in the checkpoint folder; from there, records with a domain need no exchange
+    until they are counted, only those without one that have a fallback key meet the index, and only those that stay
+    alone are numbered. Everything about a company is an aggregate that is combined before the shuffle: sets of distinct
+    sources, queries, places and countries, the first and last instant, counts; the records themselves stay rows
+    (members), so a company that holds a third of them is never gathered. Multiplicity is kept: repeated records are
+    members as often as given.
     """
-    rows = prepare(records)
-    unresolved = rows.filter(F.col("_domain").isNull() & F.col("_name").isNull()).select(*RECORD)
-    rows = rows.filter(F.col("_domain").isNotNull() | F.col("_name").isNotNull())
-    sited = rows.filter(F.col("_domain").isNotNull() & F.col("_fallback").isNotNull())
-    index = sited.groupBy("_fallback").agg(F.min("_domain").alias("_only"), F.max("_domain").alias("_last"))
-    joined = rows.join(index, "_fallback", "left")
-    alone = F.col("_domain").isNull() & (F.col("_fallback").isNull() | (F.col("_only") != F.col("_last")))
-    reason = F.when(alone & F.col("_fallback").isNull(), "INSUFFICIENT_IDENTITY").when(alone, "AMBIGUOUS_IDENTITY")
-    placed = joined.withColumns({
-        "_reason": reason,
-        "domain": F.coalesce("_domain", F.when(F.col("_only") == F.col("_last"), F.col("_only"))),
-    })
-    order = Window.partitionBy("record_id").orderBy("_key", "_reason")
-    single = placed.filter(F.col("_reason").isNotNull()).withColumn("_rank", F.row_number().over(order) - 1)
-    single = single.withColumn("authority", F.concat(F.lit("singleton:"), "record_id", F.lit(":"), F.col("_rank").cast("string"))).drop("_rank")
-    grouped = placed.filter(F.col("_reason").isNull())
-    grouped = grouped.withColumn("authority", F.coalesce(F.concat(F.lit("domain:"), "domain"), F.concat(F.lit("fallback:"), "_fallback")))
-    members = grouped.unionByName(single).withColumn("company_id", digest_id("cmp_", F.col("authority")))
+    rows = cut_lineage(prepare(records))
+    unsited = rows.filter(F.col("_domain").isNull())
+    unresolved = unsited.filter(F.col("_name").isNull()).select(*RECORD)
+    unsited = unsited.filter(F.col("_name").isNotNull())
+    nothing = F.lit(None).cast("string")
+    by_domain = rows.filter(F.col("_domain").isNotNull()).withColumns({"_reason": nothing, "domain": F.col("_domain"), "authority": F.concat(F.lit("domain:"), "_domain")})
+    index = rows.filter(F.col("_domain").isNotNull() & F.col("_fallback").isNotNull()).groupBy("_fallback").agg(F.min("_domain").alias("_only"), F.max("_domain").alias("_last"))
+    asked = unsited.filter(F.col("_fallback").isNotNull()).join(index, "_fallback", "left")
+    several = F.coalesce(F.col("_only") != F.col("_last"), F.lit(False))
+    attached = asked.filter(~several).withColumns({"_reason": nothing, "domain": F.col("_only"), "authority": F.coalesce(F.concat(F.lit("domain:"), "_only"), F.concat(F.lit("fallback:"), "_fallback"))})
+    bare = unsited.filter(F.col("_fallback").isNull()).withColumn("_reason", F.lit("INSUFFICIENT_IDENTITY"))
+    alone = asked.filter(several).withColumn("_reason", F.lit("AMBIGUOUS_IDENTITY")).drop("_only", "_last").unionByName(bare)
+    whole = F.to_json(F.struct(*sorted(RECORD)), {"ignoreNullFields": "false"})
+    order = Window.partitionBy("record_id").orderBy(whole, "_reason")
+    single = alone.withColumns({"domain": nothing, "authority": F.concat(F.lit("singleton:"), "record_id", F.lit(":"), (F.row_number().over(order) - 1).cast("string"))})
+    members = by_domain.unionByName(attached.drop("_only", "_last")).unionByName(single).withColumn("company_id", digest_id("cmp_", F.col("authority")))
     return Identities(_companies(members), members.select("company_id", *RECORD), unresolved)
 
 
 def _companies(members: DataFrame) -> DataFrame:
+    """One aggregate by company and name, which also counts the votes for the name, and one over it by company."""
     exa = F.col("provider") == FIRST_PROVIDER
     trimmed = F.trim("name")
     raw = _first_by([(~exa).alias("a"), F.length(trimmed).alias("b"), F.lower(trimmed).alias("c"), trimmed.alias("d")])
-    votes = members.groupBy("company_id", "_name").agg(F.count("*").alias("n"), F.max(exa).alias("exa"), raw.alias("raw"))
+    named = members.groupBy("company_id", "_name").agg(
+        F.count("*").alias("n"), F.max(exa).alias("exa"), raw.alias("raw"), F.first("domain").alias("domain"), F.first("_reason").alias("reason"),
+        F.collect_set("provider").alias("providers"), F.collect_set("query").alias("queries"), F.collect_set("_place").alias("places"),
+        F.min("_country").alias("one"), F.max("_country").alias("other"), F.max(~F.col("_country").isin(*HOME)).alias("abroad"),
+        F.min("_at").alias("created_at"), F.max("_at").alias("updated_at"),
+    )
     best = F.min(F.when(F.col("_name").isNotNull(), F.struct((-F.col("n")).alias("n"), (~F.col("exa")).alias("e"), F.col("_name").alias("name"), F.col("raw.d").alias("raw"))))
-    names = votes.groupBy("company_id").agg(best.alias("best"))
-    facts = members.groupBy("company_id").agg(
-        F.first("domain").alias("domain"),
-        F.collect_set("provider").alias("providers"),
-        F.collect_set("query").alias("queries"),
-        F.collect_set("_place").alias("places"),
-        F.min("_country").alias("one"),
-        F.max("_country").alias("other"),
-        F.max(~F.col("_country").isin(*HOME)).alias("abroad"),
-        F.first("_reason").alias("reason"),
-        F.min("_at").alias("created_at"),
-        F.max("_at").alias("updated_at"),
-        F.count("*").alias("n_records"),
-    )
-    both = facts.join(names, "company_id")
+    union = lambda c: F.array_distinct(F.flatten(F.collect_list(c))).alias(c)
+    both = named.groupBy("company_id").agg(
+        best.alias("best"), F.first("domain").alias("domain"), F.first("reason").alias("reason"), union("providers"), union("queries"), union("places"),
+        F.min("one").alias("one"), F.max("other").alias("other"), F.max("abroad").alias("abroad"),
+        F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"), F.sum("n").alias("n_records"),
+    )
     provisional = F.col("best").isNull()
     reviews = F.array_compact(F.array(
         F.col("reason"),

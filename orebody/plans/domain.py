@@ -212,7 +212,7 @@ _PROFILE = "CASE WHEN regexp_matches(lower(trim(profile_url)), '^https?://[^/?#]
 
 
 @query(f"""
-WITH l AS (SELECT * FROM contact_records QUALIFY row_number() OVER (PARTITION BY contact_id ORDER BY observed_at DESC NULLS LAST) = 1),
+WITH l AS (SELECT * FROM contact_records QUALIFY row_number() OVER (PARTITION BY contact_id ORDER BY observed_at DESC NULLS LAST, company_id NULLS LAST, title NULLS LAST, full_name NULLS LAST, profile_url NULLS LAST, company_domain NULLS LAST) = 1),
 r AS (SELECT contact_id, company_id, {_title_sql('t')} AS reason, {_NAME} AS nm,
     coalesce('profile:' || {_PROFILE}, 'name_domain:' || {_NAME} || '|' || nullif(lower(trim(company_domain)), '')) AS key FROM (SELECT *, {_TITLE} AS t FROM l)),
 k AS (SELECT *, CASE reason[1] WHEN 'd' THEN 1 WHEN 'f' THEN 2 WHEN 'o' THEN 3 END AS rank,
@@ -223,19 +223,20 @@ SELECT company_id, contact_id, reason, row_number() OVER (PARTITION BY company_i
 QUALIFY position <= 3""")
 def selected_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "contact_records").select("contact_id", "company_id", "full_name", "title", "profile_url", "company_domain", "observed_at")
-    latest = latest_by(rows, ["contact_id"], F.col("observed_at"))
+    tie = [F.col(c).asc_nulls_last() for c in ("company_id", "title", "full_name", "profile_url", "company_domain")]
+    latest = latest_by(rows, ["contact_id"], F.col("observed_at"), tie)
     return contacts.select_contacts(latest).select("company_id", "contact_id", "reason", "position")
 
 
 @query("""
 SELECT contact_id, row_number() OVER (ORDER BY company_final_score DESC NULLS LAST, decision_rank NULLS LAST, full_name NULLS LAST, contact_id) AS place
-FROM (SELECT * FROM contact_records QUALIFY row_number() OVER (PARTITION BY contact_id ORDER BY observed_at DESC NULLS LAST) = 1)
+FROM (SELECT * FROM contact_records QUALIFY row_number() OVER (PARTITION BY contact_id ORDER BY observed_at DESC NULLS LAST, company_final_score DESC NULLS LAST, decision_rank NULLS LAST, full_name NULLS LAST) = 1)
 QUALIFY place <= 500""")
 def publication_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report's first 500 rows: a top-k plan, ranked after the limit."""
     rows = table(spark, sf_dir, "contact_records").select("contact_id", "company_final_score", "decision_rank", "full_name", "observed_at")
     order = contacts.publication_order(*map(F.col, ("company_final_score", "decision_rank", "full_name", "contact_id")))
-    top = latest_by(rows, ["contact_id"], F.col("observed_at")).orderBy(*order).limit(500)
+    top = latest_by(rows, ["contact_id"], F.col("observed_at"), order[:3]).orderBy(*order).limit(500)
     return top.select("contact_id", F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"))  # 500 rows at most
 
 

@@ -21,6 +21,7 @@ def build_session(app: str = "orebody", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # files of a checkpoint go when nothing refers to it
     } | conf
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -57,7 +58,7 @@ def _checkpoint_dir(spark: SparkSession) -> None:
             context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir"))
         return
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):  # more than one process
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="orebody-checkpoint-"))
 
