@@ -79,6 +79,8 @@ class Name:
 
 
 def fold(text: str) -> str:
+    if text.isascii():
+        return text.lower()
     text = unicodedata.normalize("NFKD", unicodedata.normalize("NFKC", text).casefold())
     return "".join(c for c in text if not unicodedata.combining(c))
 

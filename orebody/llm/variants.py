@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from orebody.llm.components import components
-from orebody.llm.naming import edits, host_label, numbers, parse
+from orebody.llm.naming import TRADE, edits, host_label, numbers, parse
 from orebody.session import cut_lineage
 
 EDITS = 2
@@ -68,21 +68,44 @@ def borders(k: int) -> list[tuple[int, bool, bool]]:
     return out
 
 
+@lru_cache(maxsize=10_000)
+def _index_plan(length: int, k: int) -> list[tuple[str, int, int, bool, bool]]:
+    """(beginning of the key, start and end of the segment, swap before it, swap behind it) of every key of a length."""
+    cut = segments(length, k)
+    plan = [(f"{length}:{i}:", a, a + n, bool(before and n and a), bool(behind and n and a + n < length)) for i, before, behind in borders(k) for a, n in [cut[i]]]
+    return list(dict.fromkeys(plan))
+
+
 def index_keys(s: str, k: int = EDITS) -> list[str]:
     """One key per segment: length, number and text; and those of segments with a swap across a border undone."""
-    cut = segments(len(s), k)
     out = {}
-    for i, before, behind in borders(k):
-        a, n = cut[i]
-        t = list(s)
-        if n and before and a:
-            t[a - 1 : a + 1] = t[a], t[a - 1]
-        if n and behind and a + n < len(s):
-            t[a + n - 1 : a + n + 1] = t[a + n], t[a + n - 1]
-        out[f"{len(s)}:{i}:{''.join(t[a : a + n])}"] = None
+    for head, a, b, before, behind in _index_plan(len(s), k):
+        part = s[a:b]
+        if before:
+            part = s[a - 1] + part[1:]
+        if behind:
+            part = part[:-1] + s[b]
+        out[head + part] = None
     return list(out)
 
 
+@lru_cache(maxsize=10_000)
+def _probe_plan(size: int, k: int | Callable[[int], int], longer: int) -> list[tuple[str, int, int]]:
+    """(beginning of the key, start, end) of every piece that is looked up for a string of a size."""
+    plan = []
+    most = k if isinstance(k, int) else MOST_EDITS
+    for length in range(max(1, size - most), size + longer + 1):
+        near = k if isinstance(k, int) else k(length)
+        more = size - length
+        if more > near or length <= near:
+            continue
+        for i, (a, n) in enumerate(segments(length, near)):
+            low = max(0, a - i, a + more - (near - i))
+            high = min(size - n, a + i, a + more + (near - i))
+            plan += [(f"{length}:{i}:", p, p + n) for p in range(low, high + 1)]
+    return plan
+
+
 def probe_keys(s: str, k: int | Callable[[int], int] = EDITS, longer: int = 0) -> list[str]:
     """Keys under which any string up to k edits away, and at most ``longer`` letters longer than s, has a segment; k may
     depend on that string's length.
@@ -91,18 +114,7 @@ def probe_keys(s: str, k: int | Callable[[int], int] = EDITS, longer: int = 0) -
     shifted by at most k; the window narrows with the number of segments on either side, as edits left of a segment and
     right of it add up.
     """
-    out = set()
-    most = k if isinstance(k, int) else MOST_EDITS
-    for length in range(max(1, len(s) - most), len(s) + longer + 1):
-        near = k if isinstance(k, int) else k(length)
-        more = len(s) - length
-        if more > near or length <= near:
-            continue
-        for i, (a, n) in enumerate(segments(length, near)):
-            low = max(0, a - i, a + more - (near - i))
-            high = min(len(s) - n, a + i, a + more + (near - i))
-            out.update(f"{length}:{i}:{s[p : p + n]}" for p in range(low, high + 1))
-    return sorted(out)
+    return list(dict.fromkeys([head + s[a:b] for head, a, b in _probe_plan(len(s), k, longer)]))
 
 
 def forms_of(owner: str, names: list[str | None], site: str | None) -> Iterator[tuple]:
@@ -130,7 +142,7 @@ def _rows(out: list[tuple], schema: T.StructType) -> pa.RecordBatch:
 
 _KEYS = T.StructType([
     T.StructField("form", T.StringType()), T.StructField("shown", T.StringType()), T.StructField("k", T.IntegerType()),
-    T.StructField("probe", T.BooleanType()), T.StructField("keys", T.ArrayType(T.StringType())),
+    T.StructField("probe", T.BooleanType()), T.StructField("marks", T.ArrayType(T.StringType())), T.StructField("keys", T.ArrayType(T.StringType())),
 ])
 _PAIR = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("distance", T.IntegerType())])
 
@@ -152,36 +164,39 @@ def within_trade(length: int) -> int:
     return EDITS + 1 if length >= LONG else EDITS
 
 
-def keys_of(form: str, trades: list[str], spellings: list[tuple[list[str], bool]]) -> Iterator[tuple[str, str, int, bool, list[str]]]:
-    """(form, shown, k, probe, keys): under which keys a form is looked up and looks others up.
+def keys_of(form: str, trades: list[str], spellings: list[tuple[list[str], bool]]) -> Iterator[tuple[str, str, int, bool, list[str], list[str]]]:
+    """(form, shown, k, probe, marks, keys): under which marks and keys a form is found, and looks for others.
 
-    Forms that name lines of trade meet within each of them; forms that name none meet all. The mark before a key says
-    which: a trade, - for forms without one, + for forms with some, looked up by those without.
+    Forms that name lines of trade meet within each of them; forms that name none meet all. The mark of a key says which:
+    a trade, - for forms without one, + for forms with some, looked up by those without. Spellings with a part cut short
+    are many and looked for by few, so they are found under one mark each, and looked for under all that may hold them.
     """
     if len(form) >= SHORTEST:
-        looks = [(f"{t}|", within_trade) for t in trades] + [("-|", EDITS)] + ([] if trades else [("+|", EDITS)])
-        found = [(f"{t}|", within_trade) for t in trades] + [("+|" if trades else "-|", EDITS)]
         whole, short = set(), set()
         for pieces, cut in spellings:
             some, less = shown(list(pieces), cut)
             whole |= some
             short |= less
+        near = within_trade(len(form))
+        if trades:
+            yield form, form, 0, True, trades, probe_keys(form, within_trade)
+        yield form, form, 0, True, ["-"] if trades else ["-", "+"], probe_keys(form)
         if any(cut for _, cut in spellings):
-            looks += [(f"cut:{mark}", None) for mark, _ in looks]
-        for mark, k in looks:
-            keys = probe_keys(form, CUT_EDITS, CUT_EDITS) if k is None else probe_keys(form, k)
-            yield form, form, 0, True, [mark + x for x in keys]
-        for mark, k in found:
-            for s in whole:
-                most = k if isinstance(k, int) else k(len(s))
-                yield form, s, most, False, [mark + x for x in index_keys(s, most)]
-            for s in short - whole:
-                yield form, s, CUT_EDITS, False, [f"cut:{mark}{x}" for x in index_keys(s, CUT_EDITS)]
-    if LEAST <= len(form) <= SHORTEST:  # the shortest of the others stand one edit away
-        for t in trades:
-            yield form, form, 0, True, [f"short:{t}|{x}" for x in probe_keys(form, 1)]
-            for s in {s for pieces, _ in spellings for s in shown(list(pieces), True)[0]}:
-                yield form, s, 1, False, [f"short:{t}|{x}" for x in index_keys(s, 1)]
+            yield form, form, 0, True, [f"cut:{t}" for t in [*(trades or TRADE), "-"]], probe_keys(form, CUT_EDITS, CUT_EDITS)
+        for s in whole:
+            if trades and near == EDITS:
+                yield form, s, EDITS, False, [*trades, "+"], index_keys(s)
+            else:
+                if trades:
+                    yield form, s, near, False, trades, index_keys(s, near)
+                yield form, s, EDITS, False, ["+" if trades else "-"], index_keys(s)
+        for s in short - whole:
+            yield form, s, CUT_EDITS, False, [f"cut:{t}" for t in trades or ["-"]], index_keys(s, CUT_EDITS)
+    if LEAST <= len(form) <= SHORTEST and trades:  # the shortest of the others stand one edit away
+        marks = [f"short:{t}" for t in trades]
+        yield form, form, 0, True, marks, probe_keys(form, 1)
+        for s in {s for pieces, _ in spellings for s in shown(list(pieces), True)[0]}:
+            yield form, s, 1, False, marks, index_keys(s, 1)
 
 
 def segment_links(forms: DataFrame) -> DataFrame:
@@ -205,8 +220,10 @@ def segment_links(forms: DataFrame) -> DataFrame:
                 yield _rows([row for f, t, w in zip(form[at : at + 500], trades[at : at + 500], ways) for row in keys_of(f, t, w)], _KEYS)
 
     grouped = forms.groupBy("form").agg(F.collect_set("trade").alias("trades"), F.collect_set(F.struct("pieces", "cut")).alias("spellings"))
-    keys = grouped.filter(F.length("form") >= LEAST).mapInArrow(keyed, _KEYS).select("form", "shown", "k", "probe", F.explode("keys").alias("key"))
-    keys = cut_lineage(keys.withColumn("key", F.xxhash64("key")))  # two keys of one hash only make a pair more to verify
+    keys = grouped.filter(F.length("form") >= LEAST).mapInArrow(keyed, _KEYS)
+    keys = keys.select("form", "shown", "k", "probe", F.explode("marks").alias("mark"), "keys").select("form", "shown", "k", "probe", "mark", F.explode("keys").alias("key"))
+    # Two keys of one hash only make a pair more to verify.
+    keys = cut_lineage(keys.select("form", "shown", "k", "probe", F.xxhash64("mark", "key").alias("key")))
     probe = keys.filter("probe").select(F.col("form").alias("a"), "key")
     index = keys.filter("NOT probe").select(F.col("form").alias("b"), "shown", "k", "key")
     far = F.levenshtein("a", "shown", 2 * MOST_EDITS)
