@@ -6,20 +6,18 @@ import re
 import unicodedata
 from collections.abc import Iterator, Mapping, Sequence
 from functools import lru_cache
-from itertools import islice, product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from orebody.llm.vocabulary import FILLERS, RANKS, WHOLE, WORK
+from orebody.functions.geo import COUNTRIES, REGIONS
+from orebody.llm.vocabulary import FILLERS, HELD, RANKS, WHOLE, WORK
 
 UNMATCHED = -1
 LEAST_SIMILARITY = 0.9
 # Most rows of a reference list that tasks hold; a longer list is refused rather than broadcast.
 MOST_ENTRIES = 200_000
-# Ways to correct the words of one value that are tried for a mention.
-MOST_READINGS = 32
 
 _PIECE = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 _DROPPED = re.compile(r"[.'’`´]")
@@ -43,6 +41,14 @@ def pieces(value: str) -> list[tuple[str, bool]]:
     return out
 
 
+_PLACES = frozenset(w for name in (*REGIONS, *COUNTRIES) if len(name) > 3 for w, _ in pieces(name))
+
+
+def adds_nothing(words: Sequence[str]) -> bool:
+    """Whether words only say where or when someone does a job."""
+    return all(w in HELD or w in _PLACES or w.isdigit() for w in words)
+
+
 def one_edit(a: str, b: str) -> bool:
     """Whether one insertion, deletion, substitution or swap of neighbours turns a into b (or none is needed)."""
     if a == b:
@@ -78,6 +84,7 @@ class Matcher:
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
+        self.trie: dict = {}
         self.sets: dict[frozenset[str], int] = {}
         words: dict[str, int] = {}
         self.by_word: dict[str, list[tuple[frozenset[str], int]]] = {}
@@ -86,6 +93,10 @@ class Matcher:
             if not ws:
                 continue
             self.automaton.add_word(f" {' '.join(ws)} ", (len(ws), entry))
+            node = self.trie
+            for w in ws:
+                node = node.setdefault(w, {})
+            node.setdefault("", entry)
             self.sets.setdefault(frozenset(ws), entry)
             for w in ws:
                 words[w] = words.get(w, 0) + 1
@@ -108,24 +119,44 @@ class Matcher:
         found = {w for key in (word, *(word[:i] + word[i + 1 :] for i in range(len(word)))) for w in self.near.get(key, ()) if one_edit(w, word)}
         if not found and len(word) >= 7:
             found = {w for w in self.words if len(w) >= 7 and w[0] in word[:2] and abs(len(w) - len(word)) <= 2 and edits(w, word) <= 2}
-        return tuple(sorted(found, key=lambda w: (sorted(w) != sorted(word), -self.words[w], w))[:3]) or (word,)
+        return tuple(sorted(found, key=lambda w: (sorted(w) != sorted(word), -self.words[w], w))) or (word,)
 
     def _mention(self, ws: list[str], parted: list[bool]) -> int | None:
-        """The longest mention, if it begins the value and whatever follows it is set off by punctuation."""
+        """Of the mentions, longest first and none over another, the one that begins the value, if whatever follows it is
+        set off by punctuation or only says where or when."""
         starts, at = {}, 0
         for k, w in enumerate(ws):
             starts[at] = k
             at += len(w) + 1
-        best: tuple[int, int, int] | None = None
+        found = []
         for end, (n, entry) in self.automaton.iter(f" {' '.join(ws)} "):
             last = starts.get(end, len(ws))
-            if best is None or n > best[0]:
-                best = (n, last - n, entry)
-        if best is None:
-            return None
-        n, first, entry = best
-        after = first + n
-        return entry if first == 0 and (after == len(ws) or parted[after]) else None
+            found.append((-n, last - n, entry))
+        taken: list[tuple[int, int]] = []
+        for less, first, entry in sorted(found):
+            after = first - less
+            if all(after <= a or first >= b for a, b in taken):
+                taken.append((first, after))
+                if first == 0:
+                    return entry if self._ends(ws, parted, after) else None
+        return None
+
+    @staticmethod
+    def _ends(ws: list[str], parted: list[bool], after: int) -> bool:
+        return after == len(ws) or parted[after] or adds_nothing(ws[after:])
+
+    def _corrected_mention(self, ws: list[str], parted: list[bool]) -> int | None:
+        """The longest mention that begins the value once its words are corrected: a walk down the trie of all aliases,
+        which follows every correction of a word that leads on."""
+        best: tuple[int, int] | None = None
+        walk = [(0, self.trie)]
+        while walk:
+            k, node = walk.pop()
+            if "" in node and (best is None or k > best[0]) and self._ends(ws, parted, k):
+                best = (k, node[""])
+            if k < len(ws):
+                walk += [(k + 1, node[w]) for w in reversed(self.corrected(ws[k])) if w in node]
+        return best[1] if best else None
 
     def _similar(self, ws: list[str]) -> int | None:
         """The entry whose tokens are closest as a set: twice the shared tokens over all tokens of both."""
@@ -146,14 +177,12 @@ class Matcher:
         parts = pieces(value or "")
         if not parts:
             return UNMATCHED
-        ws, parted = [w for w, _ in parts], [p for _, p in parts]
-        if (entry := self._mention(ws, parted)) is not None:
-            return entry
-        readings = list(islice(product(*map(self.corrected, ws)), MOST_READINGS))
-        for reading in readings:
-            if (entry := self._mention(list(reading), parted)) is not None:
+        led = next((k for k, (w, _) in enumerate(parts) if w not in HELD), 0)
+        ws, parted = [w for w, _ in parts[led:]], [p for _, p in parts[led:]]
+        for look in (self._mention, self._corrected_mention):
+            if (entry := look(ws, parted)) is not None:
                 return entry
-        fixed = readings[0]
+        fixed = [self.corrected(w)[0] for w in ws]
         ends = [k for k in range(1, len(fixed)) if parted[k]] + [len(fixed)]
         for end in sorted(ends, reverse=True):
             if (entry := self._similar(fixed[:end])) is not None:

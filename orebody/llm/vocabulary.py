@@ -50,3 +50,5 @@ WHOLE = {
 }
 # Words that carry no meaning of their own inside a title.
 FILLERS = frozenset("of the for and de des du la le les d l del e y et".split())
+# Words that only say when or in which way a job is held.
+HELD = frozenset("part time full acting interim temporary temp seasonal permanent weekend weekends night nights evening evenings shift since currently now remote onsite".split())
