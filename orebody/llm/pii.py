@@ -7,15 +7,19 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh64_intdigest
 
 KINDS = ("email", "phone", "id_number", "street_address", "person_name")
 THRESHOLD = 0.6
-# Most name tokens that tasks hold; a larger table of names is refused rather than cut.
-MOST_NAMES = 200_000
+# Name tokens up to which tasks hold them as words, beyond it as hashes of eight bytes, and the most that they hold: a
+# larger table of names is refused rather than cut.
+LISTED_NAMES, MOST_NAMES = 200_000, 8_000_000
 
 # ---- validators ----------------------------------------------------------------------------------------------------
 
@@ -28,12 +32,6 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def mod97(account: str) -> bool:
-    """ISO 7064 check of an international account number."""
-    moved = account[4:] + account[:4]
-    return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
-
-
 def national_number(digits: str, grouped: str) -> float:
     """How sure digits without a label are a number of social security, insurance or tax, by how they are grouped:
     3-2-4 by area, group and serial, 3-3-3 by the check digit, the 15 of France by their key of mod 97."""
@@ -64,6 +62,7 @@ _SPELT = re.compile(
     r"[\w-]+(?:\s*(?:[\[({<]\s*(?:dot|point|punto|\.)\s*[\])}>]\s*|\s(?:dot|DOT|point|punto)\s|\.)[\w-]+)+"
 )
 _PHONE = re.compile(rf"(?<![\w.,/-])(?:tel:)?(?:\+?1{_SEP}?)?(?:\([2-9]\d\d\)\s?|[2-9]\d\d{_SEP}?)[2-9]\d\d{_SEP}?\d{{4}}(?:\s*(?:ext\.?|x|poste|extension)\s*\d+)?(?![\w-]|[.,/]\d)", re.I)
+_ABROAD = re.compile(r"(?<![\w.,/-])(?:tel:)?\+(?!1\b)[2-9]\d{0,2}(?:[ .\u2010-\u2015-]?\(?\d{1,4}\)?){2,7}(?![\w-]|[.,/]\d)")
 _ID = re.compile(
     r"(?<!\w)(?:S\.?S\.?N\.?|S\.?I\.?N\.?|N\.?A\.?S\.?|SS\#|I\.?T\.?I\.?N\.?|T\.?I\.?N\.?|N\.?I\.?[FE]\.?|D\.?N\.?I\.?|C\.?U\.?R\.?P\.?|DL\#?"
     r"|(?i:social(?:\s+(?:security|insurance))?|assurance\s+sociale|seguro\s+social|seguridad\s+social|tax\s?payer|taxpayer\s+id|contribua\w+|contribuyente"
@@ -115,12 +114,27 @@ class Span:
     kind: str
 
 
+class Hashed:
+    """A set of words held as sorted hashes; a word that is none of them is taken for one about once in 10 to the 12."""
+
+    def __init__(self, words: Iterable[str]) -> None:
+        self.held = np.unique(np.fromiter(map(xxh64_intdigest, words), np.uint64))
+
+    def __contains__(self, word: str) -> bool:
+        key = np.uint64(xxh64_intdigest(word))
+        at = np.searchsorted(self.held, key)
+        return bool(at < len(self.held) and self.held[at] == key)
+
+    def isdisjoint(self, words: Iterable[str]) -> bool:
+        return not any(w in self for w in words)
+
+
 @dataclass(frozen=True)
 class Names:
     """Folded name tokens: those that stand first and those that stand last in known names of people."""
 
-    given: frozenset[str]
-    family: frozenset[str]
+    given: frozenset[str] | Hashed
+    family: frozenset[str] | Hashed
 
 
 def fold(word: str) -> str:
@@ -165,6 +179,16 @@ def _phones(text: str) -> Iterator[Span]:
             yield Span(m.start(), m.end(), "phone")
 
 
+def _phones_abroad(text: str) -> Iterator[Span]:
+    """Numbers with the code of a country other than North America's: seven to thirteen digits behind it, of at most fifteen."""
+    if "+" not in text:
+        return
+    for m in _ABROAD.finditer(text):
+        score = 0.7 if 9 <= len(_DIGIT.sub("", m.group())) <= 15 else 0.0
+        if score - 0.4 * _around(text, m.start(), m.end(), _LESS["phone"]) >= THRESHOLD:
+            yield Span(m.start(), m.end(), "phone")
+
+
 def _ids(text: str) -> Iterator[Span]:
     for m in _ID.finditer(text):
         value, label = m.group("value").strip(" -"), m.group()[: m.start("value") - m.start()].strip().lower()
@@ -253,6 +277,7 @@ def spans(text: str | None, names: Names) -> list[Span]:
         take(_ids(text))
         take(_streets(text))
         take(_phones(text))
+        take(_phones_abroad(text))
         take(_bare_ids(text))
     parts = set(map(_quick, _WORDS.findall(text)))
     if not names.family.isdisjoint(parts) or not _TITLES.isdisjoint(parts) or not names.given.isdisjoint(parts):
@@ -273,20 +298,22 @@ def redact(text: str, found: list[Span]) -> str:
 
 
 def known_names(people: DataFrame, full_name: str) -> Names:
-    """The first and last tokens of a table of people's names, each of three letters or more: a gazetteer that tasks hold,
-    so more than MOST_NAMES distinct tokens are refused, as names left out would stay in the texts.
+    """The first and last tokens of a table of people's names, each of two letters or more: a gazetteer that tasks hold.
 
-    Tokens are made distinct before the shuffle; a name of one row counts as any other.
+    Tokens are made distinct before the shuffle; a name of one row counts as any other. Up to LISTED_NAMES they are held
+    as words, beyond it as hashes; more than MOST_NAMES (64 MB of hashes) are refused, as names left out would stay in
+    the texts.
     """
     name = F.regexp_replace(F.trim(F.split(F.col(f"`{full_name}`"), ",")[0]), r"\s+", " ")
     token = F.split(name, " ")
     pairs = F.explode(F.array(F.struct(F.lit(True).alias("first"), F.lower(token[0]).alias("t")), F.struct(F.lit(False).alias("first"), F.lower(F.element_at(token, -1)).alias("t"))))
-    rows = people.filter(F.size(token) > 1).select(pairs.alias("p")).select("p.first", "p.t").filter(F.length("t") > 2).distinct()
-    top = rows.limit(MOST_NAMES + 1).collect()
-    if len(top) > MOST_NAMES:
+    rows = people.filter(F.size(token) > 1).select(pairs.alias("p")).select("p.first", "p.t").filter((F.length("t") > 1) & ~F.contains("t", F.lit("."))).distinct()
+    top = rows.limit(MOST_NAMES + 1).toArrow()
+    if top.num_rows > MOST_NAMES:
         raise ValueError(f"more name tokens than tasks should hold ({MOST_NAMES})")
-    given, family = ({fold(r.t) for r in top if r["first"] == side and "." not in r.t} for side in (True, False))
-    return Names(frozenset(given), frozenset(family))
+    side = lambda first: (fold(t) for t in top.filter(pc.equal(top["first"], first))["t"].to_pylist())
+    hold = frozenset if top.num_rows <= LISTED_NAMES else Hashed
+    return Names(hold(side(True)), hold(side(False)))
 
 
 _OUT = T.StructType([T.StructField("row_id", T.StringType()), T.StructField("kinds", T.ArrayType(T.StringType())), T.StructField("redacted", T.StringType())])
