@@ -12,6 +12,7 @@ import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,24 +94,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
 _ENCODER: dict[str, TrieEncoder] = {}
 
 
-def _encoder(path: str) -> TrieEncoder:
-    if path not in _ENCODER:
-        _ENCODER[path] = TrieEncoder(read_ranks(path))
-    return _ENCODER[path]
+def _encoder(name: str, ranks: Broadcast[dict[bytes, int]]) -> TrieEncoder:
+    if name not in _ENCODER:
+        _ENCODER[name] = TrieEncoder(ranks.value)
+    return _ENCODER[name]
 
 
 def encode_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:
     """(doc_id, ids): the token ids of every row, without special tokens; empty and null texts have an empty list.
 
     A narrow Arrow map with no shuffle: each batch adds its distinct new words to the task's encoder. Whole texts, one
-    row out for each row in, repeated rows included; extra columns are not read. ``vocabulary`` must be readable on
-    every executor.
+    row out for each row in, repeated rows included; extra columns are not read. The vocabulary is read where the plan is
+    made and broadcast: its size is fixed, whatever the corpus.
     """
+    shared = df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        split, encoder = regex.compile(PATTERN).findall, _encoder(vocabulary)
+        split, encoder = regex.compile(PATTERN).findall, _encoder(vocabulary, shared)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for at in range(0, len(texts), 500):
