@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,7 @@ def domain_of(url: str | None) -> str | None:
     return ".".join(labels[-2:]) if len(labels) > 1 and all(labels) else None
 
 
+@lru_cache(maxsize=50_000)
 def site_parts(domain: str) -> tuple[str, str | None]:
     """The own part of a domain's label without connecting words, and the region that it ends in."""
     label = domain.rsplit(".", 1)[0]
@@ -74,13 +76,14 @@ def alike(name: Name, base: str) -> bool:
     orders = ["".join(name.words), "".join(name.words[::-1])]
     if base in orders:
         return True
-    if any(edits(joined, base, 4) <= 4 for joined in orders):
-        return True
     pairs = lambda s: {s[i : i + 2] for i in range(len(s) - 1)}
     a, b = pairs(name.core), pairs(base)
-    return bool(a and b) and 2 * len(a & b) / (len(a) + len(b)) >= 0.6
+    if a and b and 2 * len(a & b) / (len(a) + len(b)) >= 0.6:
+        return True
+    return any(edits(joined, base, 4) <= 4 for joined in orders)
 
 
+@lru_cache(maxsize=50_000)
 def place(city: str | None, region: str | None) -> tuple[str | None, str | None]:
     """City and region code in one form; a region at the end of the city counts where none is given."""
     code = _CODES.get(fold(region).strip()) if region else None
