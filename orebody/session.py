@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +66,20 @@ def _checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="orebody-checkpoint-"))
 
 
+@contextmanager
+def shared_folder(spark: SparkSession) -> Iterator[str]:
+    """A new folder below the checkpoint folder, which all executors share; deleted at the end with all that is in it."""
+    _checkpoint_dir(spark)
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(f"{context._jsc.sc().getCheckpointDir().get()}/files-{uuid.uuid4().hex}")
+    files = where.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(where)
+    try:
+        yield where.toString()
+    finally:
+        files.delete(where, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise df in the shared checkpoint folder; a lost executor then costs no recomputation of what came before."""
     _checkpoint_dir(df.sparkSession)
