@@ -16,6 +16,14 @@ def digest_id(prefix: str, preimage: Column) -> Column:
     return F.concat(F.lit(prefix), F.substring(F.sha2(preimage, 256), 1, 24))
 
 
+def set_digest(text: Column) -> Column:
+    """An aggregate: the digest of a multiset of texts, whatever their order. Two parts of the SHA-256 of each are added up
+    (exactly, in 38 digits), so it is combined before the shuffle and takes no room."""
+    part = lambda at: F.conv(F.substring(F.sha2(text, 256), at, 15), 16, 10).cast("decimal(20,0)")
+    total = lambda at: F.coalesce(F.sum(part(at)), F.lit(0).cast("decimal(30,0)")).cast("string")
+    return F.sha2(F.concat_ws(":", F.count(text).cast("string"), total(1), total(16)), 256)
+
+
 def canonical_json(*columns: Column | str) -> Column:
     """Columns as a JSON object in the order given (sort them by name for a canonical one), nulls kept."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

@@ -8,6 +8,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orebody.functions.values import sum_if_all_known
+from orebody.session import cut_lineage
+
+# Rows of a group up to which one task sums it from its first row to its last; larger ones are summed piece by piece.
+WHOLE_GROUP = 2_000_000
+
+
+def running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """df with the sum of ``value`` over the rows of the group up to this one; null values add nothing, and rows before the
+    first known value have null.
+
+    A window by group, which streams over the sorted rows; groups of more than WHOLE_GROUP rows are sorted into ranges by
+    group and order, summed within each range, and raised by the sums of the ranges before, so that no task reads more of
+    them than a range. Rows equal in ``order`` are taken as they come, so pass a total order.
+    """
+    upto = lambda *keys: Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = df.withColumn(name, value)
+    large = cut_lineage(df.groupBy(*group).count().filter(F.col("count") > WHOLE_GROUP).select(*group))  # few by definition
+    if large.isEmpty():
+        return rows.withColumn(name, F.sum(name).over(upto(*group)))
+    same = lambda other: [rows[g].eqNullSafe(other[g]) for g in group]
+    whole = rows.join(large, same(large), "left_anti").withColumn(name, F.sum(name).over(upto(*group)))
+    ranged = cut_lineage(rows.join(large, same(large), "left_semi").repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id()))
+    sums = ranged.groupBy(*group, "_range").agg(F.sum(name).alias("_sum"))
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.withColumn("_carried", F.sum("_sum").over(before)).select(*[F.col(g).alias(f"_{g}") for g in group], F.col("_range").alias("_at"), "_carried")
+    within = ranged.withColumn(name, F.sum(name).over(upto(*group, "_range")))
+    joined = within.join(carried, [within["_range"] == carried["_at"], *[within[g].eqNullSafe(carried[f"_{g}"]) for g in group]], "left")
+    total = F.when(F.col(name).isNotNull() | F.col("_carried").isNotNull(), F.coalesce(name, F.lit(0)) + F.coalesce("_carried", F.lit(0)))
+    return whole.unionByName(joined.withColumn(name, total).select(*whole.columns))
 
 
 def usage_totals(events: DataFrame, by: str, counts: Sequence[str], costs: Sequence[str], digits: int = 10) -> DataFrame:
@@ -20,24 +49,28 @@ def admitted_prefix(requests: DataFrame, group: Sequence[str], order: Sequence[s
     """Requests of each group, in order, as long as what is committed with them stays within the ceiling; the first that
     does not fit stops the rest. A null ceiling admits all; an unknown amount stops.
 
-    One window per group: running sums stream over the sorted partition, nothing is gathered.
+    Two running sums, of the amounts and of the requests that did not fit; a hot group is spread.
     """
-    upto = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    committed = F.sum(amount).over(upto)
-    fits = ceiling.isNull() | F.coalesce(F.col(amount).isNotNull() & (committed <= ceiling + slack), F.lit(False))
-    return requests.withColumn("_fits", fits).withColumn("admitted", F.min("_fits").over(upto)).drop("_fits")
+    summed = running_sum(requests.withColumn("_ceiling", ceiling), group, order, F.col(amount), "_committed")
+    fits = F.col("_ceiling").isNull() | F.coalesce(F.col(amount).isNotNull() & (F.col("_committed") <= F.col("_ceiling") + slack), F.lit(False))
+    stopped = running_sum(summed.withColumn("_fits", fits), group, order, F.when(F.col("_fits"), 0).otherwise(1), "_stopped")
+    return stopped.withColumn("admitted", F.col("_stopped") == 0).drop("_fits", "_ceiling", "_committed", "_stopped")
 
 
 def call_cursor(events: DataFrame, group: Sequence[str], order: Sequence[str], counted: Column) -> DataFrame:
-    """The running number of counted events per group, this one included."""
-    upto = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return events.withColumn("cursor", F.sum(F.when(counted, 1).otherwise(0)).over(upto))
+    """The running number of counted events per group, this one included; a hot group is spread."""
+    return running_sum(events, group, order, F.when(counted, 1).otherwise(0), "cursor")
 
 
-def regressions(states: DataFrame, key: Sequence[str], order: Sequence[str], rank: Column) -> DataFrame:
-    """Rows whose rank is lower than that of the row before them under the same key."""
+def regressions(states: DataFrame, key: Sequence[str], order: Sequence[str], rank: Column, constant: Sequence[str] = ()) -> DataFrame:
+    """Rows whose rank is lower than that of the row before them under the same key, or that differ from it in a column
+    that must stay as it is. The first row of a key has none before it."""
     before = Window.partitionBy(*key).orderBy(*order)
-    return states.withColumn("rank_now", rank).withColumn("rank_before", F.lag("rank_now").over(before)).filter("rank_now < rank_before")
+    kept = F.struct(*constant) if constant else F.lit(0)
+    rows = states.withColumn("rank_now", rank).withColumns({"rank_before": F.lag("rank_now").over(before), "_kept": kept, "_first": F.row_number().over(before) == 1})
+    rows = rows.withColumn("_before", F.lag("_kept").over(before))
+    changed = ~F.col("_first") & ~F.col("_kept").eqNullSafe(F.col("_before"))
+    return rows.filter((F.col("rank_now") < F.col("rank_before")) | changed).drop("_kept", "_before", "_first")
 
 
 def allocate(total: Column, slots: Column, slot: Column) -> Column:

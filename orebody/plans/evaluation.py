@@ -328,3 +328,30 @@ def bodies_within_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT " + ", ".join(f"count(*) FILTER (final_decision = '{d}') AS {d}" for d in ranking.DECISIONS) + f" FROM ({_LATEST})")
 def decision_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calibration.decision_counts(_latest(spark, sf_dir, "final_decision"), "final_decision", ranking.DECISIONS)
+
+
+@query("""
+WITH s AS (SELECT DISTINCT company_id, snapshot_id, status, domain FROM company_records),
+l AS (SELECT *, CASE status WHEN 'active' THEN 0 ELSE 1 END AS r, lag(CASE status WHEN 'active' THEN 0 ELSE 1 END) OVER w AS r0, lag(domain) OVER w AS d0, row_number() OVER w AS n FROM s WINDOW w AS (PARTITION BY company_id ORDER BY snapshot_id))
+SELECT company_id, snapshot_id FROM l WHERE n > 1 AND (r < r0 OR domain IS DISTINCT FROM d0)""")
+def broken_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots that fall back behind the one before, or have another identity."""
+    rows = table(spark, sf_dir, "company_records").select("company_id", "snapshot_id", "status", "domain").distinct()
+    rank = F.when(F.col("status") == "active", 0).otherwise(1)
+    return ledger.regressions(rows, ["company_id"], ["snapshot_id"], rank, constant=["domain"]).select("company_id", "snapshot_id")
+
+
+@query("""
+WITH l AS (SELECT contact_id, company_id, decision_rank, decision_reason, full_name FROM contact_records
+  QUALIFY row_number() OVER (PARTITION BY contact_id ORDER BY observed_at DESC NULLS LAST, company_id NULLS LAST, decision_rank NULLS LAST, decision_reason, full_name NULLS LAST) = 1),
+a AS (SELECT DISTINCT company_id FROM (SELECT * FROM company_records QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY snapshot_id DESC) = 1) WHERE final_decision = 'accepted'),
+k AS (SELECT *, CASE split_part(decision_reason, ':', -1) WHEN 'estimating' THEN 0 WHEN 'inside_sales' THEN 1 WHEN 'operations' THEN 2 WHEN 'sales' THEN 3 WHEN 'commercial' THEN 4
+  WHEN 'branch' THEN 5 WHEN 'regional' THEN 6 ELSE 7 END AS rel, nullif(trim(regexp_replace(lower(full_name), '[\\s\\x{a0}]+', ' ', 'g')), '') AS nm FROM l JOIN a USING (company_id) WHERE decision_rank IN (1, 2))
+SELECT company_id, contact_id FROM k QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY decision_rank, rel, nm NULLS LAST, contact_id) <= 2""")
+def two_of_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two leading contacts of ranks 1 and 2 of every accepted company."""
+    rows = table(spark, sf_dir, "contact_records").select("contact_id", "company_id", "decision_rank", "decision_reason", "full_name", "observed_at")
+    tie = [F.col(c).asc_nulls_last() for c in ("company_id", "decision_rank", "decision_reason", "full_name")]
+    latest = latest_by(rows, ["contact_id"], F.col("observed_at"), tie)
+    accepted = _latest(spark, sf_dir, "final_decision").filter(F.col("final_decision") == "accepted").select("company_id")
+    return contacts.leading_of(latest, accepted).select("company_id", "contact_id")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from orebody.functions import values
 from orebody.operators import calibration, ranking
 from orebody.operators.topn import latest_by
-from orebody.plans.domain import query
+from orebody.plans.domain import _PROFILE, _TITLE, _company, _title_sql, query
 from orebody.session import cut_lineage, shared_folder, table
 from orebody.sources import documents, labels_csv, ledger_jsonl, recorded, sinks
 from orebody.streaming import usage
@@ -25,6 +25,19 @@ def _through(spark: SparkSession, work: Callable[[str], DataFrame]) -> DataFrame
         return cut_lineage(work(folder))
 
 
+@query(f"""SELECT status, count(*) AS n FROM (SELECT DISTINCT snapshot_id, status FROM company_records) GROUP BY 1""")
+def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A summary kept as one document, replaced and read again."""
+    counts = table(spark, sf_dir, "company_records").select("snapshot_id", "status").distinct().groupBy("status").count()
+    with shared_folder(spark) as folder:
+        path = f"{folder}/summary.json"
+        assert documents.read_document(spark, path) is None
+        for summary in ({"n": {}}, {"n": {r["status"]: r["count"] for r in counts.collect()}}):  # one number per status
+            documents.replace_document(spark, path, summary)
+        read = documents.read_document(spark, path)
+    return spark.createDataFrame(list(read["n"].items()), "status string, n long")
+
+
 _K = "CAST(json_extract(props, '$.k') AS BIGINT)"
 
 
@@ -150,6 +163,23 @@ def recorded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(c("request_id").alias("company_id"), "title", F.length("excerpt").cast("long").alias("n_chars"), "evidence_id").distinct()
 
 
+@query(f"""
+WITH r AS (SELECT DISTINCT company_name, trim(full_name) AS full_name, trim(title) AS title, profile_url FROM contact_records WHERE trim(coalesce(full_name, '')) <> ''),
+t AS (SELECT *, {_title_sql("t")} AS reason FROM (SELECT *, {_TITLE} AS t FROM r) WHERE {_company("company_name")} IS NOT NULL)
+SELECT DISTINCT full_name, title, CASE reason[1] WHEN 'd' THEN 1 WHEN 'f' THEN 2 WHEN 'o' THEN 3 END AS rank, reason, {_PROFILE} AS profile_url FROM t WHERE reason IS NOT NULL""")
+def recorded_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current roles of decision makers read from recorded people searches; the employer's name stands for the company asked about."""
+    c = F.col
+    rows = table(spark, sf_dir, "contact_records").select("company_name", "full_name", "title", "profile_url").distinct()
+    role = _object(title=c("title"), company=_object(name=c("company_name")), dates=_object(to=F.lit(None).cast("string")))
+    person = _object(type=F.lit("person"), properties=_object(name=c("full_name"), workHistory=F.array(role)))
+    result = _object(url=c("profile_url"), entities=F.array(person))
+    body = F.to_json(_object(results=F.array(result)), {"ignoreNullFields": "false"})
+    asked = rows.select(F.coalesce("company_name", F.lit("")).alias("company_id"), F.sha2(F.concat_ws("|", "full_name", "title", "profile_url"), 256).alias("request_id"), body.alias("body"))
+    companies = rows.select("company_name").filter(F.col("company_name").isNotNull()).distinct().select(c("company_name").alias("company_id"), c("company_name").alias("name"))
+    return recorded.people(asked, companies).select("full_name", "title", "rank", "reason", "profile_url").distinct()
+
+
 @query("SELECT record_id, name, round(x, 2) AS score FROM (SELECT DISTINCT record_id, name, CAST(json_extract(raw_metadata, '$.score') AS DOUBLE) AS x FROM discovery_exa) WHERE x IS NOT NULL AND abs(x * 100 - floor(x * 100) - 0.5) > 1e-6")
 def metadata_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores rounded half-even on their exact value, but for those half-way between two, which the test covers."""

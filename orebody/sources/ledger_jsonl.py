@@ -10,14 +10,20 @@ RECORD_BYTES = 256 * 1024
 FILE_BYTES = 16 * 1024 * 1024
 
 
-def read_ledger(spark: SparkSession, path: str, schema: str | None = None, record_bytes: int = RECORD_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
+def read_ledger(
+    spark: SparkSession, path: str, schema: str | None = None, record_bytes: int = RECORD_BYTES, file_bytes: int = FILE_BYTES,
+    all_bytes: int | None = None, all_rows: int | None = None,
+) -> DataFrame:
     """(path, line_no, payload) of every line, or the parsed columns beside path and line_no when a schema is given.
 
     Blank lines are skipped. Fails on a line that is no JSON object, on a repeated key, on a line or file over its bound.
     A file is one record of the scan, because line numbers and the torn tail are properties of the file: its bound keeps
     that record small, so ledgers grow by files, and files are read in parallel. No files is an error of the scan; an
-    empty file has no rows.
+    empty file has no rows. ``all_bytes`` and ``all_rows`` bound the ledger as a whole, where it should have a bound: sizes
+    are read from the files' listing, rows counted in a pass of their own.
     """
+    if all_bytes is not None and (total := spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("n")).first().n or 0) > all_bytes:
+        raise ValueError(f"ledger {path} has {total} bytes, more than {all_bytes}")
     files = spark.read.format("binaryFile").load(path).select("path", "length", F.col("content").cast("string").alias("text"))
     sized = files.withColumn("text", F.when(F.col("length") <= file_bytes, F.col("text")).otherwise(F.raise_error(F.concat(F.lit("ledger file over its bound: "), "path"))))
     lines = sized.select("path", F.endswith("text", F.lit("\n")).alias("whole"), F.posexplode(F.split("text", "\n")).alias("pos", "line"), F.size(F.split("text", "\n")).alias("n"))
@@ -29,6 +35,8 @@ def read_ledger(spark: SparkSession, path: str, schema: str | None = None, recor
     where = F.concat(F.lit("bad ledger line "), "path", F.lit(":"), (F.col("pos") + 1).cast("string"))
     checked = lines.filter(~torn).withColumn("line", F.when(good, F.col("line")).otherwise(F.raise_error(where)))
     out = checked.select("path", (F.col("pos") + 1).alias("line_no"), F.col("line").alias("payload"))
+    if all_rows is not None and (rows := out.count()) > all_rows:
+        raise ValueError(f"ledger {path} has {rows} rows, more than {all_rows}")
     return out if schema is None else out.select("path", "line_no", F.from_json("payload", schema).alias("r")).select("path", "line_no", "r.*")
 
 

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from orebody.functions.values import canonical_text
+from orebody.sources.ledger_jsonl import RECORD_BYTES
 
 
 def _swap(spark: SparkSession, staged: str, target: str) -> None:
@@ -20,11 +26,42 @@ def _swap(spark: SparkSession, staged: str, target: str) -> None:
         files.delete(aside, True)
 
 
-def replace_json(df: DataFrame, target: str) -> None:
-    """A folder of JSON lines with sorted keys and explicit nulls, replaced as a whole."""
+def _drop(spark: SparkSession, folder: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _endless(value: Column, kind: T.DataType) -> Column:
+    """Whether a value holds a floating number that is none, or infinite, at any depth."""
+    if isinstance(kind, T.DoubleType | T.FloatType):
+        return F.coalesce(F.isnan(value) | (F.abs(value) == float("inf")), F.lit(False))
+    if isinstance(kind, T.StructType):
+        return reduce(or_, [_endless(value[f.name], f.dataType) for f in kind], F.lit(False))
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.exists(value, lambda x: _endless(x, kind.elementType)), F.lit(False))
+    if isinstance(kind, T.MapType):
+        return F.coalesce(F.exists(F.map_values(value), lambda x: _endless(x, kind.valueType)), F.lit(False))
+    return F.lit(False)
+
+
+def canonical_lines(df: DataFrame, record_bytes: int = RECORD_BYTES) -> DataFrame:
+    """The rows as JSON: keys sorted at every level, nulls kept, characters as they are. Numbers that are none, and records
+    over the bound, are errors."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    line = canonical_text(F.to_json(row, {"ignoreNullFields": "false"}))
+    endless = F.when(_endless(row, df.schema), F.lit("a number that is none"))
+    checked = df.select(line.alias("value"), endless.alias("_wrong")).withColumn("_wrong", F.coalesce("_wrong", F.when(F.octet_length("value") > record_bytes, F.lit("a record over its bound"))))
+    return checked.select(F.when(F.col("_wrong").isNull(), F.col("value")).otherwise(F.raise_error(F.col("_wrong"))).alias("value"))
+
+
+def replace_json(df: DataFrame, target: str, record_bytes: int = RECORD_BYTES) -> None:
+    """A folder of JSON lines in their canonical form, replaced as a whole; nothing is replaced when a row is wrong."""
     staged = f"{target}.new-{uuid.uuid4().hex}"
-    line = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), {"ignoreNullFields": "false"})
-    df.select(line.alias("value")).write.text(staged)
+    try:
+        canonical_lines(df, record_bytes).write.text(staged)
+    except Exception:
+        _drop(df.sparkSession, staged)
+        raise
     _swap(df.sparkSession, staged, target)
 
 

@@ -67,6 +67,15 @@ def test_ledgers(spark):
     assert sorted(r.s for r in shares) == [6] * 3 + [7] * 7
 
 
+def test_hot_groups_are_summed_in_ranges(spark, monkeypatch):
+    rows = [("hot", k, (k * 7) % 5) for k in range(2000)] + [(None, k, k % 3) for k in range(900)] + [(f"g{k}", k, 1) for k in range(50)] + [("hot", 2000, None)]
+    df = spark.createDataFrame(rows, "g string, k int, a int").repartition(7)
+    plain = {(r.g, r.k): (r.s, r.ok) for r in ledger.admitted_prefix(ledger.running_sum(df, ["g"], ["k"], F.col("a"), "s"), ["g"], ["k"], "a", F.lit(1500)).withColumnRenamed("admitted", "ok").collect()}
+    monkeypatch.setattr(ledger, "WHOLE_GROUP", 500)
+    spread = {(r.g, r.k): (r.s, r.ok) for r in ledger.admitted_prefix(ledger.running_sum(df, ["g"], ["k"], F.col("a"), "s"), ["g"], ["k"], "a", F.lit(1500)).withColumnRenamed("admitted", "ok").collect()}
+    assert plain == spread and len(plain) == len(rows) and sum(ok for _, ok in plain.values()) < len(rows)
+
+
 def test_contacts(spark):
     titles = spark.createDataFrame([("Owner",), ("Vice President, Inside Sales",), ("President",), ("Branch Mgr",), ("Branch Manager",), ("Chief of Staff",), (None,)], "t string")
     got = {r.t: r.r for r in titles.select("t", contacts.title_reason(F.col("t")).alias("r")).collect()}
@@ -101,11 +110,46 @@ def test_ledger_files(spark, tmp_path):
             read_ledger(spark, str(tmp_path)).collect()
 
 
+def test_ledger_as_a_whole(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"{k}.jsonl").write_text('{"id": "x", "v": 1}\n' * 5)
+    assert read_ledger(spark, str(tmp_path), all_bytes=1000, all_rows=15).count() == 15
+    for bound in ({"all_bytes": 100}, {"all_rows": 14}):
+        with pytest.raises(ValueError, match="more than"):
+            read_ledger(spark, str(tmp_path), **bound)
+
+
+def test_canonical_lines(spark, tmp_path):
+    from orebody.sources.sinks import canonical_lines
+
+    df = spark.createDataFrame([({"b": 1.5, "a": 2.0}, (3, "é"), [1.0])], "z map<string,double>, a struct<y: int, x: string>, l array<double>")
+    assert [r.value for r in canonical_lines(df).collect()] == ['{"a":{"x":"é","y":3},"l":[1.0],"z":{"a":2.0,"b":1.5}}']
+    replace_json(df, str(tmp_path / "out"))
+    for wrong in ([({"b": float("nan")}, None, None)], [(None, None, [float("inf")])]):
+        with pytest.raises(Exception, match="a number that is none"):
+            replace_json(spark.createDataFrame(wrong, df.schema), str(tmp_path / "out"))
+    with pytest.raises(Exception, match="over its bound"):
+        replace_json(df, str(tmp_path / "out"), record_bytes=10)
+    assert spark.read.text(str(tmp_path / "out")).count() == 1
+
+
+def test_progress_with_constant_columns(spark):
+    rows = [("k", 1, 0, "a"), ("k", 2, 1, "a"), ("k", 3, 1, None), ("k", 4, 1, None), ("k", 5, 0, None), ("j", 1, 5, None)]
+    df = spark.createDataFrame(rows, "k string, n int, r int, c string")
+    assert [r.n for r in ledger.regressions(df, ["k"], ["n"], F.col("r"), constant=["c"]).orderBy("n").collect()] == [3, 5]
+    assert [r.n for r in ledger.regressions(df, ["k"], ["n"], F.col("r")).collect()] == [5]
+
+
 def test_labels(spark, tmp_path):
     known = spark.createDataFrame([("c1",), ("c2",)], "company_id string")
     path = tmp_path / "l.csv"
     path.write_text('extra,company_id,manual_label,manual_notes\nq,c1, a ,"two\nlines"\nq,c2,B,\n')
     assert {(r.company_id, r.manual_label) for r in read_labels(spark, str(path), known).collect()} == {("c1", "A"), ("c2", "B")}
+    with pytest.raises(ValueError, match="rows"):
+        read_labels(spark, str(path), known, most=1)
+    path.write_bytes(b"company_id,manual_label,manual_notes\nc1,A,caf\xe9\n")
+    with pytest.raises(ValueError, match="encoding"):
+        read_labels(spark, str(path), known)
     for body in ("c1,A\nc1,B\n", "c3,A\n", "c1,D\n", "=c1,A\n", ",A\n"):
         path.write_text("company_id,manual_label\n" + body)
         with pytest.raises(ValueError):
