@@ -37,8 +37,9 @@ TOGETHER = 20_000
 # Rounds between two cuts of the lineage.
 EACH = 6
 LEAST_TRUTH = 0.3
-# A domain is a directory if at least so many named records show it and at most this share of their names is like it.
-DIRECTORY_ROWS, DIRECTORY_SHARE = 5, 0.2
+# A domain is a directory if records of at least so many different names show it and at most this share of them is like
+# it: how often a record or a name repeats says nothing.
+DIRECTORY_NAMES, DIRECTORY_SHARE = 5, 0.2
 
 _CODES = {v: v for v in REGIONS.values()} | {fold(k): v for k, v in REGIONS.items()} | {v.lower(): v for v in REGIONS.values()}
 _BLANK_NAMES = frozenset("home page untitled index welcome homepage unknown na none null".split())
@@ -127,8 +128,9 @@ def _found(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
 def _resolved(parsed: DataFrame) -> DataFrame:
     """One row per record: directories are no sites, the record's own site comes before the linked one, and a missing
     region is the one in which its city mostly lies."""
-    shared = parsed.filter(F.col("domain").isNotNull() & F.col("fits").isNotNull()).groupBy("domain").agg(F.count("*").alias("n"), F.avg(F.col("fits").cast("int")).alias("share"))
-    shared = shared.filter((F.col("n") >= DIRECTORY_ROWS) & (F.col("share") <= DIRECTORY_SHARE)).select("domain", F.lit(True).alias("directory"))
+    names = parsed.filter(F.col("domain").isNotNull() & F.col("fits").isNotNull()).groupBy("domain", "form").agg(F.bool_or("fits").alias("fits"))
+    shared = names.groupBy("domain").agg(F.count("*").alias("n"), F.avg(F.col("fits").cast("int")).alias("share"))
+    shared = shared.filter((F.col("n") >= DIRECTORY_NAMES) & (F.col("share") <= DIRECTORY_SHARE)).select("domain", F.lit(True).alias("directory"))
     rows = _found(parsed, shared, "domain")
     own = F.when(F.col("directory").isNull() & F.col("base").isNotNull(), F.struct(F.col("linked"), F.col("base"), F.col("suffix"), F.col("fits")))
     keys = ["source", "record_id", "form", "trade", "pieces", "cut", "city", "region"]
