@@ -7,6 +7,7 @@ IDNA form, and each distinct one of a batch for its place in the list of public
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from functools import lru_cache
 
 import pyarrow as pa
@@ -48,13 +49,17 @@ def _ascii_host(host: Column) -> Column:
     return F.coalesce(F.when(plain, F.lower(host)), _idna(F.when(~plain, host)))
 
 
-def _part(url: Column, n: int) -> Column:
-    """Group n of an http(s) address without user information and with a proper port: 1 scheme, 2 host, 3 port, 4 path,
-    5 query. Null for anything else, '' for a part that is not there."""
-    clean = F.regexp_replace(F.regexp_replace(url, r"^[\s\x1c-\x1f\u0085\p{Z}]+|[\s\x1c-\x1f\u0085\p{Z}]+\z", ""), r"[\t\r\n]", "")
-    port = F.regexp_extract(clean, _ADDRESS, 3)
-    good = clean.rlike(_ADDRESS) & (F.length(port) <= 9) & (F.coalesce(F.nullif(port, F.lit("")).try_cast("int"), F.lit(0)) <= 65535)
-    return F.when(good, F.regexp_extract(clean, _ADDRESS, n))
+def _parts(url: Column) -> Column:
+    """Scheme, host, port, path and query of an http(s) address without user information and with a proper port, as an
+    array, '' for a part that is not there; null for anything else."""
+    clean = F.regexp_replace(url, r"^[\s\x1c-\x1f\u0085\p{Z}]+|[\s\x1c-\x1f\u0085\p{Z}]+\z|[\t\r\n]", "")
+    split = F.split(F.regexp_replace(clean, _ADDRESS, "$1\x01$2\x01$3\x01$4\x01$5"), "\x01")
+    return _bound(split, lambda s: F.when((F.size(s) == 5) & ((s[2] == "") | (F.length(s[2]) <= 9) & (s[2].try_cast("int") <= 65535)), s))
+
+
+def _bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once."""
+    return F.transform(F.array(value), f)[0]
 
 
 @lru_cache(maxsize=4)
@@ -96,7 +101,7 @@ def registrable_domain(url: Column, path: str = SUFFIX_FILE) -> Column:
         coded = pc.dictionary_encode(hosts)
         return pa.array(map(below, coded.dictionary.to_pylist()), pa.string()).take(coded.indices)
 
-    host = F.regexp_replace(_ascii_host(_part(url, 2)), r"\.+\z", "")
+    host = F.regexp_replace(_ascii_host(_parts(url)[1]), r"\.+\z", "")
     return run(F.when(host.rlike(rf"^{_LABEL}(?:\.{_LABEL})+\z"), host))
 
 
@@ -109,15 +114,19 @@ def company_domain(url: Column) -> Column:
 def page_url(url: Column) -> Column:
     """Scheme and host in lower case, ASCII host, a path at least '/', the query, no fragment; null for what is no http(s)
     address by name."""
-    port, query = F.nullif(_part(url, 3), F.lit("")), F.nullif(_part(url, 5), F.lit(""))
-    return F.concat(
-        F.lower(_part(url, 1)), F.lit("://"), _ascii_host(_part(url, 2)), F.coalesce(F.concat(F.lit(":"), port.cast("int").cast("string")), F.lit("")),
-        F.coalesce(F.nullif(_part(url, 4), F.lit("")), F.lit("/")), F.coalesce(F.concat(F.lit("?"), query), F.lit("")),
-    )
+    def put(p: Column) -> Column:
+        port = F.when(p[2] != "", F.concat(F.lit(":"), p[2].cast("int").cast("string"))).otherwise("")
+        return F.concat(port, F.coalesce(F.nullif(p[3], F.lit("")), F.lit("/")), F.when(p[4] != "", F.concat(F.lit("?"), p[4])).otherwise(""))
+
+    parts = _parts(url)
+    return F.concat(F.lower(parts[0]), F.lit("://"), _ascii_host(parts[1]), _bound(parts, put))
 
 
 def profile_url(url: Column) -> Column:
     """A profile as https, without www., port, query, fragment, doubled and trailing slashes; null as for page_url."""
-    host = F.regexp_replace(F.regexp_replace(F.lower(_part(url, 2)), r"\.+\z", ""), r"^www\.", "")
-    path = F.regexp_replace(F.regexp_replace(_part(url, 4), "/+", "/"), r"/\z", "")
-    return F.concat(F.lit("https://"), host, F.coalesce(F.nullif(path, F.lit("")), F.lit("/")))
+    def put(p: Column) -> Column:
+        host = F.regexp_replace(F.regexp_replace(F.lower(p[1]), r"\.+\z", ""), r"^www\.", "")
+        path = F.regexp_replace(F.regexp_replace(p[3], "/+", "/"), r"/\z", "")
+        return F.concat(F.lit("https://"), host, F.coalesce(F.nullif(path, F.lit("")), F.lit("/")))
+
+    return _bound(_parts(url), put)
