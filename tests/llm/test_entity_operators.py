@@ -257,7 +257,7 @@ def test_survive(spark):
     assert {tuple(r) for r in survivors.survive(df, *args, least_rows=1).collect()} >= {("d", "domain", 9)}
 
 
-def test_truth_discovery(spark):
+def test_truth_discovery(spark, monkeypatch):
     rng = random.Random(2)
     claims, truth = [], {}
     for e in range(80):
@@ -269,6 +269,12 @@ def test_truth_discovery(spark):
     found = {r.entity: r.value for r in survivors.discover_truth(df).collect()}
     assert sum(found[e] == "t" for e in truth) >= 74 and len(found) == 80
     assert survivors.discover_truth(df.limit(0)).count() == 0
+    exact = {tuple(r)[:3]: r.confidence for r in survivors.discover_truth(df).collect()}
+    for name in ("CLAIMS_TOGETHER", "SOURCES_TOGETHER"):  # spread over values, and joined
+        monkeypatch.setattr(survivors, name, 2)
+        assert {tuple(r)[:3]: pytest.approx(r.confidence) for r in survivors.discover_truth(df).collect()} == exact
+    with pytest.raises(RuntimeError, match="still move"):
+        survivors.discover_truth(df, tolerance=0.0, rounds=2)
 
 
 def test_truth_of_every_dealt_field(spark, tmp_path):
