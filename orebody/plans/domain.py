@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebody.functions import geo, text, url, values
@@ -228,24 +228,16 @@ def selected_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contacts.select_contacts(latest).select("company_id", "contact_id", "reason", "position")
 
 
-@query("""
-SELECT contact_id, row_number() OVER (ORDER BY company_final_score DESC NULLS LAST, decision_rank NULLS LAST, full_name NULLS LAST, contact_id) AS place
-FROM (SELECT * FROM contact_records QUALIFY row_number() OVER (PARTITION BY contact_id ORDER BY observed_at DESC NULLS LAST, company_final_score DESC NULLS LAST, decision_rank NULLS LAST, full_name NULLS LAST) = 1)
-QUALIFY place <= 500""")
+@query(f"""
+SELECT contact_id, row_number() OVER (ORDER BY company_final_score DESC NULLS LAST, decision_rank NULLS LAST, {_NAME} NULLS LAST, contact_id) AS place
+FROM (SELECT * FROM contact_records QUALIFY row_number() OVER (PARTITION BY contact_id ORDER BY observed_at DESC NULLS LAST, company_final_score DESC NULLS LAST, decision_rank NULLS LAST, full_name NULLS LAST) = 1)""")
 def publication_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report's first 500 rows: a top-k plan, ranked after the limit."""
-    rows = table(spark, sf_dir, "contact_records").select("contact_id", "company_final_score", "decision_rank", "full_name", "observed_at")
-    order = contacts.publication_order(*map(F.col, ("company_final_score", "decision_rank", "full_name", "contact_id")))
-    top = latest_by(rows, ["contact_id"], F.col("observed_at"), order[:3]).orderBy(*order).limit(500)
-    return top.select("contact_id", F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"))  # 500 rows at most
-
-
-@query()
-def publication_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole report: the place of every contact."""
+    """The place of every contact in the report, by its latest version: a sort into ranges and offsets, no task holds all."""
     rows = table(spark, sf_dir, "contact_records").select("contact_id", "company_final_score", "decision_rank", "full_name", "observed_at")
-    order = contacts.publication_order(*map(F.col, ("company_final_score", "decision_rank", "full_name", "contact_id")))
-    return numbered(latest_by(rows, ["contact_id"], F.col("observed_at"), order[:3]), order, "place").select("contact_id", "place")
+    tie = [F.col("company_final_score").desc_nulls_last(), F.col("decision_rank").asc_nulls_last(), F.col("full_name").asc_nulls_last()]
+    order = contacts.publication_order(*map(F.col, ("company_final_score", "decision_rank", "_name", "contact_id")))
+    latest = latest_by(rows, ["contact_id"], F.col("observed_at"), tie).withColumn("_name", text.normalize_person_name(F.col("full_name")))
+    return numbered(latest, order, "place").select("contact_id", "place")
 
 
 @query("""
