@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orebody.functions.geo import country_code, location, region_code
 from orebody.functions.text import normalize_company_name, normalize_text
@@ -32,7 +33,9 @@ class Identities:
 
 def prepare(records: DataFrame) -> DataFrame:
     """Identity columns beside the record: name, city, region, country, domain, the fallback key, the place, the instant."""
-    named = records.select(*[F.col(c).cast("string").alias(c) for c in RECORD]).withColumns({
+    # Columns that are strings stay what they are: a second name of each would make the planner weigh all their combinations.
+    text = [F.col(c) if isinstance(records.schema[c].dataType, T.StringType) else F.col(c).cast("string").alias(c) for c in RECORD]
+    named = records.select(*text).withColumns({
         "_name": normalize_company_name(F.col("name")),
         "_city": normalize_text(F.col("city")),
         "_region": region_code(F.col("region")),
@@ -79,8 +82,8 @@ def resolve(records: DataFrame) -> Identities:
     bare = unsited.filter(F.col("_fallback").isNull()).withColumn("_reason", F.lit("INSUFFICIENT_IDENTITY"))
     alone = asked.filter(several).withColumn("_reason", F.lit("AMBIGUOUS_IDENTITY")).drop("_only", "_last").unionByName(bare)
     whole = F.to_json(F.struct(*sorted(RECORD)), {"ignoreNullFields": "false"})
-    order = Window.partitionBy("record_id").orderBy(whole, "_reason")
-    single = alone.withColumns({"domain": nothing, "authority": F.concat(F.lit("singleton:"), "record_id", F.lit(":"), (F.row_number().over(order) - 1).cast("string"))})
+    order = Window.partitionBy("record_id").orderBy("_key", "_reason")  # a column: as an expression of all others it would burden the planner
+    single = alone.withColumn("_key", whole).withColumns({"domain": nothing, "authority": F.concat(F.lit("singleton:"), "record_id", F.lit(":"), (F.row_number().over(order) - 1).cast("string"))}).drop("_key")
     members = by_domain.unionByName(attached.drop("_only", "_last")).unionByName(single).withColumn("company_id", digest_id("cmp_", F.col("authority")))
     return Identities(_companies(members), members.select("company_id", *RECORD), unresolved)
 

@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 from orebody.functions.values import canonical_text
 from orebody.sources.ledger_jsonl import RECORD_BYTES
 
+# Rows of a file of JSON lines, so that files stay small enough to be read as one record each.
+FILE_ROWS = 20_000
+
 
 def _swap(spark: SparkSession, staged: str, target: str) -> None:
     jvm = spark.sparkContext._jvm
@@ -54,11 +57,12 @@ def canonical_lines(df: DataFrame, record_bytes: int = RECORD_BYTES) -> DataFram
     return checked.select(F.when(F.col("_wrong").isNull(), F.col("value")).otherwise(F.raise_error(F.col("_wrong"))).alias("value"))
 
 
-def replace_json(df: DataFrame, target: str, record_bytes: int = RECORD_BYTES) -> None:
-    """A folder of JSON lines in their canonical form, replaced as a whole; nothing is replaced when a row is wrong."""
+def replace_json(df: DataFrame, target: str, record_bytes: int = RECORD_BYTES, file_rows: int = FILE_ROWS) -> None:
+    """A folder of JSON lines in their canonical form, in files of ``file_rows`` at most, replaced as a whole; nothing is
+    replaced when a row is wrong."""
     staged = f"{target}.new-{uuid.uuid4().hex}"
     try:
-        canonical_lines(df, record_bytes).write.text(staged)
+        canonical_lines(df, record_bytes).write.option("maxRecordsPerFile", file_rows).text(staged)
     except Exception:
         _drop(df.sparkSession, staged)
         raise
@@ -73,6 +77,6 @@ def replace_csv(df: DataFrame, target: str, order: list | None = None) -> None:
     _swap(df.sparkSession, staged, target)
 
 
-def append_json(df: DataFrame, target: str) -> None:
+def append_json(df: DataFrame, target: str, file_rows: int = FILE_ROWS) -> None:
     """More files in a folder of JSON lines; the committer makes all of them visible, or none."""
-    df.write.mode("append").option("ignoreNullFields", "false").json(target)
+    df.write.mode("append").option("ignoreNullFields", "false").option("maxRecordsPerFile", file_rows).json(target)
