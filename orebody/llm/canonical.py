@@ -49,6 +49,21 @@ def adds_nothing(words: Sequence[str]) -> bool:
     return all(w in HELD or w in _PLACES or w.isdigit() for w in words)
 
 
+def shortens(short: str, word: str) -> bool:
+    """Whether a word is written short: its first three letters or more, or its first letter and, in order, others none of
+    which is a vowel, at least three in all and the last within its last three."""
+    if len(short) < 3 or len(short) >= len(word) or short[0] != word[0]:
+        return False
+    if word.startswith(short):
+        return True
+    at = 0
+    for letter in short[1:]:
+        at = word.find(letter, at + 1)
+        if at < 0 or letter in "aeiouy":
+            return False
+    return at >= len(word) - 3
+
+
 def one_edit(a: str, b: str) -> bool:
     """Whether one insertion, deletion, substitution or swap of neighbours turns a into b (or none is needed)."""
     if a == b:
@@ -112,11 +127,13 @@ class Matcher:
         self.corrected = lru_cache(maxsize=200_000)(self._corrected)
 
     def _corrected(self, word: str) -> tuple[str, ...]:
-        """The listed words that a word of four letters or more may stand for: itself, else those one edit away, else
-        (from seven letters) two edits away, most used first."""
-        if word in self.words or len(word) < 4:
-            return (word,)
-        found = {w for key in (word, *(word[:i] + word[i + 1 :] for i in range(len(word)))) for w in self.near.get(key, ()) if one_edit(w, word)}
+        """The listed words that a word may stand for: itself and those that it shortens; if it is none, from four letters on, those
+        one edit away, else, from seven, two edits away; most used first."""
+        found = {w for w in self.words if shortens(word, w)}
+        if word in self.words:
+            return (word, *sorted(found, key=lambda w: (-self.words[w], w)))
+        if len(word) >= 4:
+            found |= {w for key in (word, *(word[:i] + word[i + 1 :] for i in range(len(word)))) for w in self.near.get(key, ()) if one_edit(w, word)}
         if not found and len(word) >= 7:
             found = {w for w in self.words if len(w) >= 7 and w[0] in word[:2] and abs(len(w) - len(word)) <= 2 and edits(w, word) <= 2}
         return tuple(sorted(found, key=lambda w: (sorted(w) != sorted(word), -self.words[w], w))) or (word,)
@@ -190,22 +207,29 @@ class Matcher:
         return UNMATCHED
 
 
+def initials(phrase: str) -> list[str]:
+    """The first letters of a phrase of two words or more, together and apart."""
+    letters = [w[0] for w, _ in pieces(phrase)]
+    return ["".join(letters), " ".join(letters)] if len(letters) > 1 else []
+
+
 def title_aliases(entries: Sequence[tuple[int, str]]) -> dict[str, int]:
-    """Every way the vocabulary knows to write the given titles; a form that two titles share means neither."""
+    """Every way the vocabulary knows to write the given titles, their initials among them; a form that two titles share
+    means neither. Words written short need no alias: they are corrected."""
     by_title = {title: entry for entry, title in entries}
     forms: dict[str, set[int]] = {}
     for entry, title in entries:
         forms.setdefault(title, set()).add(entry)
     for whole, ways in WHOLE.items():
         if whole in by_title:
-            for way in ways:
+            for way in [*ways, *initials(whole)]:
                 forms.setdefault(way, set()).add(by_title[whole])
     for rank, short in RANKS.items():
         for work, ways in WORK.items():
             title = f"{rank} of {work}" if rank in ("Vice President", "Director") else f"{work} {rank}"
             if title in by_title:
-                for r in short:
-                    for w in ways:
+                for r in [*short, *initials(rank)]:
+                    for w in [*ways, *initials(work)]:
                         forms.setdefault(f"{r} {w}", set()).add(by_title[title])
                         forms.setdefault(f"{w} {r}", set()).add(by_title[title])
     joined: dict[str, set[int]] = {}

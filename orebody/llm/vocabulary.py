@@ -1,51 +1,52 @@
-"""How job titles are written in short, in other orders and in other languages."""
+"""How job titles are written in other words, orders and languages; initials and words written short are
+found by rule."""
 
 from __future__ import annotations
 
 # Ranks that combine with a line of work. Full stops, apostrophes and accents are left out of all forms.
 RANKS = {
-    "Vice President": ["vice president", "vice pres", "vp", "vicepresident", "v president", "vice presidente", "vice presidenta", "vicepresidente", "vice president e"],
-    "Director": ["director", "dir", "dirctr", "directeur", "directrice", "directora"],
-    "Manager": ["manager", "mgr", "mngr", "mng", "mgmt", "gerente", "gestionnaire", "mgmnt", "gerant", "gerante"],
-    "Supervisor": ["supervisor", "supv", "supvr", "super", "sup", "supr", "spvr", "superviseur", "superviseure", "supervisora"],
-    "Coordinator": ["coordinator", "coord", "co ord", "co ordinator", "coordinateur", "coordonnateur", "coordinador", "coordinadora", "cdr"],
+    "Vice President": ["vice president", "vicepresident", "v president", "vice presidente", "vice presidenta", "vicepresidente", "vice president e"],
+    "Director": ["director", "dirctr", "directeur", "directrice", "directora"],
+    "Manager": ["manager", "gerente", "gestionnaire", "mgmnt", "gerant", "gerante"],
+    "Supervisor": ["supervisor", "supvr", "supr", "superviseur", "superviseure", "supervisora"],
+    "Coordinator": ["coordinator", "co ord", "co ordinator", "coordinateur", "coordonnateur", "coordinador", "coordinadora"],
 }
 # Lines of work.
 WORK = {
-    "Inside Sales": ["inside sales", "ins sales", "inside sls", "ins sls", "internal sales", "indoor sales", "ventas internas", "ventes internes"],
-    "Outside Sales": ["outside sales", "outs sales", "outside sls", "outs sls", "field sales", "field outside sales", "ventas externas", "ventes externes"],
-    "Estimating": ["estimating", "esting", "estimation", "estimtg", "est", "estim", "estimates", "estimaciones", "lestimation"],
-    "Operations": ["operations", "ops", "oper", "opns", "operation", "operaciones", "opers"],
-    "Purchasing": ["purchasing", "purch", "purchsng", "procurement", "procurement purchasing", "purchase", "achats", "compras"],
-    "Supply Chain": ["supply chain", "sup chain", "supplychain", "supp chain", "scm", "cadena suministro", "chaine approvisionnement"],
-    "Warehouse": ["warehouse", "whse", "w house", "warehousing", "wh", "whs", "wrhs", "entrepot", "almacen", "d entrepot"],
-    "Quality Assurance": ["quality assurance", "qa", "q a", "qual assurance", "quality", "assurance qualite", "l assurance qualite", "calidad"],
-    "Customer Service": ["customer service", "cust service", "cust serv", "custserv", "cust svc", "customer svc", "cs", "service client", "service a la clientele", "servicio al cliente"],
-    "Engineering": ["engineering", "engrg", "engr", "eng", "engg", "ingenierie", "ingenieria"],
-    "Finance": ["finance", "fin", "finances", "finanzas", "financial"],
-    "Human Resources": ["human resources", "hr", "human res", "h r", "ressources humaines", "recursos humanos", "human ressources", "hum res"],
-    "Information Technology": ["information technology", "it", "i t", "info tech", "info technology", "infotech", "information tech", "technologies information", "tecnologia informacion"],
-    "Marketing": ["marketing", "mktg", "mktng", "mkt", "mktg", "mkting", "mercadeo", "mercadotecnia"],
-    "Business Development": ["business development", "bizdev", "biz dev", "bus dev", "business dev", "bd", "bus development", "developpement affaires", "desarrollo negocios"],
-    "Regional Sales": ["regional sales", "reg sales", "regnl sales", "regional sls", "reg sls", "regnl sls", "ventas regionales", "ventes regionales"],
-    "Maintenance": ["maintenance", "maint", "maintnce", "mtce", "mntce", "entretien", "l entretien", "entretien maintenance", "l entretien maintenance", "mantenimiento"],
-    "Logistics": ["logistics", "logist", "lgstcs", "logistic", "logs", "logistique", "logistica"],
+    "Inside Sales": ["inside sales", "internal sales", "indoor sales", "ventas internas", "ventes internes"],
+    "Outside Sales": ["outside sales", "field sales", "field outside sales", "ventas externas", "ventes externes"],
+    "Estimating": ["estimating", "esting", "estimation", "estimtg", "estimates", "estimaciones", "lestimation"],
+    "Operations": ["operations", "operaciones", "opers"],
+    "Purchasing": ["purchasing", "purchsng", "procurement", "procurement purchasing", "purchase", "achats", "compras"],
+    "Supply Chain": ["supply chain", "supplychain", "scm", "cadena suministro", "chaine approvisionnement"],
+    "Warehouse": ["warehouse", "whse", "w house", "warehousing", "wh", "entrepot", "almacen", "d entrepot"],
+    "Quality Assurance": ["quality assurance", "quality", "assurance qualite", "l assurance qualite", "calidad"],
+    "Customer Service": ["customer service", "custserv", "service client", "service a la clientele", "servicio al cliente"],
+    "Engineering": ["engineering", "engr", "ingenierie", "ingenieria"],
+    "Finance": ["finance", "finances", "finanzas", "financial"],
+    "Human Resources": ["human resources", "ressources humaines", "recursos humanos", "human ressources"],
+    "Information Technology": ["information technology", "infotech", "technologies information", "tecnologia informacion"],
+    "Marketing": ["marketing", "mkting", "mercadeo", "mercadotecnia"],
+    "Business Development": ["business development", "bizdev", "biz dev", "developpement affaires", "desarrollo negocios"],
+    "Regional Sales": ["regional sales", "regnl sales", "ventas regionales", "ventes regionales"],
+    "Maintenance": ["maintenance", "maintnce", "mtce", "mntce", "entretien", "l entretien", "entretien maintenance", "l entretien maintenance", "mantenimiento"],
+    "Logistics": ["logistics", "logs", "logistique", "logistica"],
 }
 # Titles that stand by themselves.
 WHOLE = {
     "Owner": ["owner", "business owner", "bus owner", "owner operator", "owner founder", "founder owner", "owner and founder", "proprietor", "proprietaire", "company owner", "propietario", "dueno"],
-    "Chief Executive Officer": ["chief executive officer", "ceo", "chief exec officer", "chief executive off", "chief exec off", "c e o", "chief executive", "officer chief executive"],
-    "Chief Operating Officer": ["chief operating officer", "coo", "chief oper officer", "chief operating off", "chief op officer", "chief operations officer", "chief ops officer", "c o o", "officer chief operating"],
-    "Chief Financial Officer": ["chief financial officer", "cfo", "chief fin officer", "chief financial off", "chief finance officer", "c f o", "officer chief financial"],
-    "President": ["president", "pres", "company president", "president company", "co president", "presidente", "presidenta"],
-    "General Manager": ["general manager", "gm", "gen manager", "gen mgr", "general mgr", "general mngr", "gen mngr", "mgr general", "manager general", "g m", "directeur general", "gerente general", "director general"],
-    "Managing Partner": ["managing partner", "mng partner", "mng ptnr", "managing ptnr", "partner managing", "ptnr managing", "mgng partner", "mgr partner", "ptnr mng", "partner mng"],
-    "Branch Manager": ["branch manager", "br manager", "br mgr", "branch mgr", "branch mngr", "br mngr", "manager branch", "mgr branch", "mngr branch", "directeur succursale", "gerente sucursal"],
-    "Plant Manager": ["plant manager", "plant mgr", "plant mngr", "manager plant", "mgr plant", "mngr plant", "plt mgr", "plt manager", "directeur usine", "gerente planta", "directeur d usine"],
+    "Chief Executive Officer": ["chief executive officer", "chief executive", "officer chief executive"],
+    "Chief Operating Officer": ["chief operating officer", "chief op officer", "chief operations officer", "officer chief operating"],
+    "Chief Financial Officer": ["chief financial officer", "chief finance officer", "officer chief financial"],
+    "President": ["president", "company president", "president company", "co president", "presidente", "presidenta"],
+    "General Manager": ["general manager", "manager general", "directeur general", "gerente general", "director general"],
+    "Managing Partner": ["managing partner", "partner managing", "mgr partner", "partner mng"],
+    "Branch Manager": ["branch manager", "br manager", "manager branch", "directeur succursale", "gerente sucursal"],
+    "Plant Manager": ["plant manager", "manager plant", "directeur usine", "gerente planta", "directeur d usine"],
     "Estimator": ["estimator", "estimater", "estimator i ii", "estimateur", "estimatrice", "estimador"],
     "Buyer": ["buyer", "acheteur", "acheteuse", "comprador", "compradora", "buyer purchasing", "purchasing buyer", "purchasing agent"],
-    "Inside Sales Representative": ["inside sales representative", "inside sales rep", "rep inside sales", "representative inside sales", "isr", "isr inside sales rep", "ins sales rep", "inside sls rep", "ins sls rep", "representant ventes internes"],
-    "Service Technician": ["service technician", "service tech", "svc tech", "svc technician", "serv tech", "tech service", "tech svc", "technician service", "technicien service", "tecnico servicio"],
+    "Inside Sales Representative": ["inside sales representative", "representative inside sales", "isr inside sales rep", "representant ventes internes"],
+    "Service Technician": ["service technician", "technician service", "technicien service", "tecnico servicio"],
     "Controller": ["controller", "comptroller", "fin controller", "financial controller", "controleur", "contralor", "controller finance"],
 }
 # Words that carry no meaning of their own inside a title.
