@@ -217,7 +217,8 @@ def segment_links(forms: DataFrame) -> DataFrame:
             form, trades, spellings = (batch.column(k).to_pylist() for k in range(3))
             for at in range(0, len(form), 500):
                 ways = [[(x["pieces"], x["cut"]) for x in some] for some in spellings[at : at + 500]]
-                yield _rows([row for f, t, w in zip(form[at : at + 500], trades[at : at + 500], ways) for row in keys_of(f, t, w)], _KEYS)
+                found = (row for f, t, w in zip(form[at : at + 500], trades[at : at + 500], ways) for row in keys_of(f, t, w))
+                yield _rows([(f, None if s == f else s, *rest) for f, s, *rest in found], _KEYS)  # null: shown as it is
 
     grouped = forms.groupBy("form").agg(F.collect_set("trade").alias("trades"), F.collect_set(F.struct("pieces", "cut")).alias("spellings"))
     keys = grouped.filter(F.length("form") >= LEAST).mapInArrow(keyed, _KEYS)
@@ -227,7 +228,7 @@ def segment_links(forms: DataFrame) -> DataFrame:
     probe = keys.filter("probe").select(F.col("form").alias("a"), "key")
     index = keys.filter("NOT probe").select(F.col("form").alias("b"), "shown", "k", "key")
     far = F.levenshtein("a", "shown", 2 * MOST_EDITS)
-    near = probe.join(index, "key").filter((F.col("a") != F.col("b")) & (far >= 0) & (far <= 2 * F.col("k"))).select("a", "b", "shown", "k").distinct()
+    near = probe.join(index, "key").withColumn("shown", F.coalesce("shown", "b")).filter((F.col("a") != F.col("b")) & (far >= 0) & (far <= 2 * F.col("k"))).select("a", "b", "shown", "k").distinct()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

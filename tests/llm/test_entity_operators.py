@@ -229,8 +229,9 @@ def test_large_classes_are_solved_alike(spark, monkeypatch):
     truths = spark.createDataFrame(rows, TRUTH)
     whole = {tuple(r[:4]): r.value for r in linkage.solve(truths).collect()}
     monkeypatch.setattr(linkage, "WHOLE_CLASS", 2)
+    monkeypatch.setattr(linkage, "TOLERANCE", 1e-3)  # fewer rounds of windows
     spread = {tuple(r[:4]): r.value for r in linkage.solve(truths).collect()}
-    assert whole.keys() == spread.keys() and all(abs(whole[k] - spread[k]) < 3e-3 for k in whole)
+    assert whole.keys() == spread.keys() and all(abs(whole[k] - spread[k]) < 1e-2 for k in whole)
     monkeypatch.setattr(linkage, "WHOLE_CLASS", 100)
     monkeypatch.setattr(linkage, "TOGETHER", 3)
     parts = {tuple(r[:4]): r.value for r in linkage.solve(truths).collect()}
