@@ -89,23 +89,28 @@ def resolve(records: DataFrame) -> Identities:
 
 
 def _companies(members: DataFrame) -> DataFrame:
-    """One aggregate by company and name, which also counts the votes for the name, and one over it by company."""
+    """Two aggregates over the members: the votes for a name, by company and name and then by company, and all else by
+    company. Sets are merged before and after the exchange, so a company takes no more room than its distinct values."""
     exa = F.col("provider") == FIRST_PROVIDER
     trimmed = F.trim("name")
     raw = _first_by([(~exa).alias("a"), F.length(trimmed).alias("b"), F.lower(trimmed).alias("c"), trimmed.alias("d")])
-    named = members.groupBy("company_id", "_name").agg(
-        F.count("*").alias("n"), F.max(exa).alias("exa"), raw.alias("raw"), F.first("domain").alias("domain"), F.first("_reason").alias("reason"),
-        F.collect_set("provider").alias("providers"), F.collect_set("query").alias("queries"), F.collect_set("_place").alias("places"),
-        F.min("_country").alias("one"), F.max("_country").alias("other"), F.max(~F.col("_country").isin(*HOME)).alias("abroad"),
-        F.min("_at").alias("created_at"), F.max("_at").alias("updated_at"),
-    )
+    votes = members.groupBy("company_id", "_name").agg(F.count("*").alias("n"), F.max(exa).alias("exa"), raw.alias("raw"))
     best = F.min(F.when(F.col("_name").isNotNull(), F.struct((-F.col("n")).alias("n"), (~F.col("exa")).alias("e"), F.col("_name").alias("name"), F.col("raw.d").alias("raw"))))
-    union = lambda c: F.array_distinct(F.flatten(F.collect_list(c))).alias(c)
-    both = named.groupBy("company_id").agg(
-        best.alias("best"), F.first("domain").alias("domain"), F.first("reason").alias("reason"), union("providers"), union("queries"), union("places"),
-        F.min("one").alias("one"), F.max("other").alias("other"), F.max("abroad").alias("abroad"),
-        F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"), F.sum("n").alias("n_records"),
-    )
+    names = votes.groupBy("company_id").agg(best.alias("best"))
+    facts = members.groupBy("company_id").agg(
+        F.first("domain").alias("domain"),
+        F.collect_set("provider").alias("providers"),
+        F.collect_set("query").alias("queries"),
+        F.collect_set("_place").alias("places"),
+        F.min("_country").alias("one"),
+        F.max("_country").alias("other"),
+        F.max(~F.col("_country").isin(*HOME)).alias("abroad"),
+        F.first("_reason").alias("reason"),
+        F.min("_at").alias("created_at"),
+        F.max("_at").alias("updated_at"),
+        F.count("*").alias("n_records"),
+    )
+    both = facts.join(names, "company_id")
     provisional = F.col("best").isNull()
     reviews = F.array_compact(F.array(
         F.col("reason"),

@@ -116,7 +116,44 @@ def stated_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("company_id", "fact_key").agg(F.bool_or("supported").alias("supported"))
 
 
-@query()
+_REL = "(?:" + "|".join(vocabulary.RELATIONS["pvf_relevant"]) + ")"
+_TGT = "(?:" + "|".join(vocabulary.CONCEPTS["pvf_relevant"]) + ")"
+
+
+def _lead(pattern: str) -> str:
+    """A pattern of what stands before a word, without its end and its first word bound, quoted for SQL."""
+    return "(?:" + pattern.removesuffix("$").replace(r"\b", "").replace("'", "''") + ")"
+
+
+def _marked(x: str, before: str, word: str) -> str:
+    """SQL that puts ~ before a word that follows a pattern; twice, as matches that touch do not both count."""
+    for _ in range(2):
+        x = f"regexp_replace({x}, '((?:^|[^\\w~]){before})({word})($|[^\\w])', '\\1~\\2\\3', 'g')"
+    return x
+
+
+def _denied_relations(x: str) -> str:
+    for pattern in vocabulary.RELATION_DENIED:
+        x = _marked(x, _lead(pattern), _REL)
+    for _ in range(4):  # a denial goes on to the next of at most five relations
+        x = f"regexp_replace({x}, '(~{_REL}(?:{vocabulary.OBJECT_BRIDGE}{_TGT})?{vocabulary.COORDINATION})({_REL})($|[^\\w])', '\\1~\\2\\3', 'g')"
+    return x
+
+
+def _denied_concepts(x: str) -> str:
+    for pattern in (*vocabulary.CONCEPT_DENIED, vocabulary.VERB_DENIED.replace("[a-z][", "~?[a-z][")):  # words between may be marked
+        x = _marked(_marked(x, _lead(pattern), _TGT), _lead(pattern), _TGT)
+    return x
+
+
+_PAIR = f"{_REL}{vocabulary.OBJECT_BRIDGE}{_TGT}($|[^\\w])"
+
+
+@query(f"""WITH i AS ({_ITEMS}), k AS ({_CLAUSES}),
+m AS (SELECT company_id, evidence_id, {_denied_relations("c")} AS r, {_denied_concepts("c")} AS t, regexp_matches(c, '(^|[^\\w]){_REL}($|[^\\w])') AS acts FROM k),
+v AS (SELECT company_id, evidence_id, bool_or(CASE WHEN acts THEN regexp_matches(r, '(^|[^\\w~]){_PAIR}') ELSE regexp_matches(t, '(^|[^\\w~]){_TGT}($|[^\\w])') END) AS yes,
+  bool_or(regexp_matches(r, '~{_PAIR}')) AND NOT bool_or(regexp_matches(r, '(^|[^\\w~]){_PAIR}')) AS no FROM m GROUP BY 1, 2)
+SELECT i.company_id, coalesce(bool_or(yes), false) AS relevant, coalesce(bool_or(no), false) AS denied FROM i LEFT JOIN v USING (company_id, evidence_id) GROUP BY 1""")
 def relevance_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a company's evidence supports, or denies without contradiction, that it deals in pipe, valves and fittings."""
     items = _items(spark, sf_dir)

@@ -62,6 +62,25 @@ def test_every_fact_has_its_words():
     assert [propositions.mentions("bill  of\nmaterials, bills of materials", ("bill of materials",))] == [[(0, 18)]]
 
 
+def test_denials_against_sql():
+    import duckdb
+
+    from orebody.plans.evaluation import ORACLE
+
+    rng = random.Random(3)
+    words = "we,do not,don't,never,are not,no,without,currently,a,the,industrial,pvf,pipe,valves,fittings,sell,sells,distributor,distribution,stock,supply,or,nor,\x2c,manufacture,make,of,steel,for,carry".split(",")
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(3, 9))).replace(" \x2c", ",") for _ in range(3000)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE evidence_items AS SELECT i::VARCHAR AS company_id, 'e' AS evidence_id, NULL::VARCHAR AS title, t AS excerpt, NULL::TIMESTAMP AS deleted_at FROM (SELECT unnest(?) AS t, unnest(?) AS i)", [texts, list(range(len(texts)))])
+    want = {int(c): (yes, no) for c, yes, no in con.execute(ORACLE["relevance_facts"]).fetchall()}
+    for n, text in enumerate(texts):
+        clauses = [c.casefold() for c in re.split(v.CLAUSE_END, text, flags=re.IGNORECASE)]
+        verdicts = [propositions.judge("pvf_relevant", False, c) for c in clauses]
+        got = any(propositions.judge("pvf_relevant", True, c)[0] for c in clauses), any(a for a, _ in verdicts) and not any(b for _, b in verdicts)
+        assert got == want[n], text
+    assert 50 < sum(no for _, no in want.values()) < 2000
+
+
 def answer(**over):
     told = {k: {"value": None, "confidence": 0, "evidence_ids": []} for k in v.FACT_KEYS} | over
     return json.dumps({"choices": [{"finish_reason": "stop", "message": {"content": json.dumps({"facts": told})}}]})
