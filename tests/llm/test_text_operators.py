@@ -142,6 +142,16 @@ def test_recall_of_edited_copies(spark, rate):
     assert len(found) >= 0.9 * len(docs)
 
 
+def test_very_long_texts(spark):
+    item = [f"w{k}" for k in range(60)]
+    docs = spark.createDataFrame([(1, " ".join(["x"] * 50_000 + item + ["a"] * 50_000)), (2, "a " * 50_000), (3, "w1" * 50_000)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(item)), (8, "a a a a a a")], "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id, r.run) for r in wordruns.leaks(docs, items).collect()} == {(1, 7, 60), (1, 8, 6), (2, 8, 6)}
+    long = "é" * 50_000 + " société" * 5_000
+    garbled = long.encode("utf-8").decode("cp1252", "ignore")
+    assert mojibake.repair(long)[1:] == ([], False) and mojibake.repair("ok é " * 20_000 + "sociÃ©tÃ©")[0].endswith(" société") and len(garbled) > len(long)
+
+
 def test_items_in_blocks(spark, monkeypatch):
     docs = spark.createDataFrame([(k, " ".join(f"w{i}" for i in range(k, k + 30))) for k in range(12)], "doc_id bigint, text string")
     items = docs.toDF("item_id", "text")
