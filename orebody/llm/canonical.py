@@ -19,6 +19,9 @@ LEAST_SIMILARITY = 0.9
 # Most rows of a reference list that tasks hold; a longer list is refused rather than broadcast.
 MOST_ENTRIES = 200_000
 
+# Letters of a value or word up to which a task remembers what it means; a longer word is no misspelt listed one.
+LONGEST_REMEMBERED = 120
+
 _PIECE = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 _DROPPED = re.compile(r"[.'’`´]")
 
@@ -124,7 +127,10 @@ class Matcher:
             if len(w) >= 4:
                 for key in {w, *(w[:i] + w[i + 1 :] for i in range(len(w)))}:
                     self.near.setdefault(key, []).append(w)
-        self.corrected = lru_cache(maxsize=200_000)(self._corrected)
+        self._remembered = lru_cache(maxsize=200_000)(self._corrected)
+
+    def corrected(self, word: str) -> tuple[str, ...]:
+        return self._remembered(word) if len(word) <= LONGEST_REMEMBERED else (word,)
 
     def _corrected(self, word: str) -> tuple[str, ...]:
         """The listed words that a word may stand for: itself and those that it shortens; if it is none, from four letters on, those
@@ -255,7 +261,10 @@ def map_values(rows: DataFrame, value: str, entries: Sequence[tuple[int, str]],
     at = rows.columns.index(value)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, known = Matcher(shared.value), lru_cache(maxsize=200_000)(lambda v: exact[v] if v in exact else matcher.match(v))
+        matcher = Matcher(shared.value)
+        find = lambda v: exact[v] if v in exact else matcher.match(v)
+        remembered = lru_cache(maxsize=200_000)(find)
+        known = lambda v: remembered(v) if len(v) <= LONGEST_REMEMBERED else find(v)
         for batch in batches:
             coded = batch.column(at).dictionary_encode()
             meant = pa.array([None if v is None or not v.strip() else known(v) for v in coded.dictionary.to_pylist()], pa.int64())

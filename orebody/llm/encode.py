@@ -22,6 +22,8 @@ TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Distinct words and token pairs that a task remembers; when full, they are forgotten and computed again.
 REMEMBERED = 400_000
+# Letters of a word beyond which it is encoded but not remembered, so that what is remembered is bounded in bytes too.
+LONGEST_WORD = 64
 
 
 class TrieEncoder:
@@ -83,6 +85,9 @@ class TrieEncoder:
             for w in ws:
                 ids += known[w]
             out.append(ids)
+        for w in fresh:
+            if len(w) > LONGEST_WORD:
+                del known[w]
         return out
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 LEGACY = ("cp1252", "cp1250", "cp1251", "mac_roman", "cp437", "cp850", "iso8859_15")
 SINGLE_BYTE = ("mac_roman", "cp1251", "cp437", "cp850")
 MAX_LAYERS = 6
+LONGEST_WORD = 40
 LOST = "\ufffd"
 _ASCII = frozenset(map(chr, range(128)))
 
@@ -99,9 +100,13 @@ def _as_utf8(text: str, codec: _Codec) -> tuple[str, int]:
 _SIGNS = set("‚„∞∂√∫≠≥≤∑∏πΩ◊¸ˆ˙‰˜´¨¬˚˝˛ˇ˘¯ªº¿¡ﬂﬁ‡†‹›ÿ")
 
 
-@lru_cache(maxsize=200_000)
 def _token_cost(token: str) -> int:
-    """How garbled a white-space free token looks: mixed scripts, capitals and signs inside words, controls."""
+    """How garbled a white-space free token looks; remembered for words, not for long runs without white space."""
+    return _word_cost(token) if len(token) <= LONGEST_WORD else _cost(token)
+
+
+def _cost(token: str) -> int:
+    """Mixed scripts, capitals and signs inside words, controls."""
     cost, scripts, last = 0, set(), ""
     for k, c in enumerate(token):
         if 0x80 <= ord(c) < 0xA0 or c == LOST:
@@ -123,6 +128,7 @@ def _token_cost(token: str) -> int:
     return cost
 
 
+_word_cost = lru_cache(maxsize=200_000)(_cost)
 _TOKEN = re.compile(r"\S+")
 
 
