@@ -106,12 +106,12 @@ def item_problems(items: DataFrame) -> DataFrame:
 def applied(companies: DataFrame, facts: DataFrame, items: DataFrame) -> DataFrame:
     """companies with features, feature_confidence and stage_status as the accepted and supported facts leave them.
 
-    ``companies``: company_id, stage_status and anything else; ``facts``: as ``accepted`` gives them, one per company and
-    key. Companies without facts stay as they are, with null features. Features are JSON texts by fact.
+    ``companies``: company_id, stage_status and anything else; ``facts``: as ``accepted`` gives them; repeated ones count
+    once, and of different ones of a company and key the greatest value. Companies without facts stay as they are, with null features. Features are JSON texts by fact.
     """
     kept = canonical(supported(facts, items))
-    entry = F.struct("fact_key", F.struct("value", "confidence", "evidence_ids"))
-    told = kept.groupBy("company_id").agg(F.map_from_entries(F.collect_list(entry)).alias("_facts"))  # as many as there are facts
+    once = kept.groupBy("company_id", "fact_key").agg(F.max(F.struct("value", "confidence", "evidence_ids")).alias("_told"))
+    told = once.groupBy("company_id").agg(F.map_from_entries(F.collect_list(F.struct("fact_key", "_told"))).alias("_facts"))  # as many as there are facts
     joined = companies.join(told, "company_id", "left")
     done = F.create_map(F.lit("research"), F.lit("completed"), F.lit("extraction"), F.lit("completed"))
     others = F.map_filter("stage_status", lambda k, _: ~k.isin("research", "extraction"))
