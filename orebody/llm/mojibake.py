@@ -7,7 +7,6 @@ reading is taken when the garbling cost drops, and the result is tried again for
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
