@@ -24,11 +24,6 @@ def set_digest(text: Column) -> Column:
     return F.sha2(F.concat_ws(":", F.count(text).cast("string"), total(1), total(16)), 256)
 
 
-def canonical_json(*columns: Column | str) -> Column:
-    """Columns as a JSON object in the order given (sort them by name for a canonical one), nulls kept."""
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-
-
 def canonical_text(text: Column, without: Sequence[str] = ()) -> Column:
     """JSON text in its canonical form: keys sorted at every level, no spaces, characters as they are, and without the
     keys named, wherever they stand. Null for null; an error for what is no JSON or holds a number that is none."""
