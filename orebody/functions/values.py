@@ -35,8 +35,9 @@ def canonical_text(text: Column, without: Sequence[str] = ()) -> Column:
     @F.arrow_udf(T.StringType())
     def run(values: pa.Array) -> pa.Array:
         keep = lambda pairs: {k: x for k, x in pairs if k not in dropped}
-        form = lambda x: json.dumps(json.loads(x, object_pairs_hook=keep, parse_constant=refuse), sort_keys=True, ensure_ascii=False, separators=(",", ":"))
-        return pa.array([None if x is None else form(x) for x in values.to_pylist()], pa.string())
+        read = json.JSONDecoder(object_pairs_hook=keep, parse_constant=refuse).decode
+        form = json.JSONEncoder(sort_keys=True, ensure_ascii=False, separators=(",", ":")).encode
+        return pa.array([None if x is None else form(read(x)) for x in values.to_pylist()], pa.string())
 
     return run(text)
 

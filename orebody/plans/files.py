@@ -46,9 +46,11 @@ def ledger_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last entry of every key of a ledger kept as JSON lines, after it was appended to in two parts."""
     events = table(spark, sf_dir, "events").select("user_id", "event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
+    first = F.coalesce(F.col("k") < 50, F.lit(False))
+
     def work(folder: str) -> DataFrame:
-        sinks.replace_json(events.filter("k < 50"), f"{folder}/ledger")
-        sinks.append_json(events.filter("k >= 50"), f"{folder}/ledger")
+        sinks.replace_json(events.filter(first), f"{folder}/ledger")
+        sinks.append_json(events.filter(~first), f"{folder}/ledger")
         rows = ledger_jsonl.read_ledger(spark, f"{folder}/ledger/*.*", "user_id long, event_id long, k long")
         return latest_by(rows, ["user_id"], F.col("event_id")).select("user_id", "event_id", "k")
 

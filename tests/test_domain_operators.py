@@ -119,6 +119,27 @@ def test_ledger_as_a_whole(spark, tmp_path):
             read_ledger(spark, str(tmp_path), **bound)
 
 
+def test_ledger_of_many_lines(spark, tmp_path):
+    lines = ["" if k % 1000 == 7 else f'{{"id": {k}, "note": "é and some more text"}}' for k in range(1, 60_001)]
+    (tmp_path / "a.jsonl").write_text("\n".join(lines) + '\n{"id": 60001, "no')
+    (tmp_path / "b.jsonl").write_text("\n".join(lines[:2000]))
+    rows = read_ledger(spark, str(tmp_path), "id long, note string").cache()
+    assert rows.filter("id = line_no AND note = 'é and some more text'").count() == rows.count() == 59_940 + 1_998
+    assert sorted(r.last for r in rows.groupBy("path").agg(F.max("line_no").alias("last")).collect()) == [2000, 60_000]
+    rows.unpersist()
+    (tmp_path / "b.jsonl").write_text("\n".join(lines[:1500] + ["[]"] + lines[1501:]))
+    with pytest.raises(Exception, match="bad ledger line .*b.jsonl:1501"):
+        read_ledger(spark, str(tmp_path)).collect()
+
+
+def test_ledger_keeps_unknown_numbers(spark, tmp_path):
+    from orebody.plans.files import ledger_files
+
+    rows = [(1, 1, '{"k": 10}'), (2, 1, "{}"), (3, 2, '{"k": 50}'), (4, 2, '{"k": 49}'), (5, None, None), (6, 3, "{}"), (7, 3, '{"k": null}')]
+    spark.createDataFrame(rows, "event_id long, user_id long, props string").write.parquet(str(tmp_path / "events.parquet"))
+    assert {tuple(r) for r in ledger_files(spark, str(tmp_path)).collect()} == {(1, 2, None), (2, 4, 49), (None, 5, None), (3, 7, None)}
+
+
 def test_canonical_lines(spark, tmp_path):
     from orebody.sources.sinks import canonical_lines
 
